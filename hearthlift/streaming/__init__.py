@@ -1,0 +1 @@
+"""Empty on purpose: the workload is batch only, with fixed calendar windows and no streams."""
