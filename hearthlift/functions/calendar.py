@@ -25,27 +25,25 @@ def epoch_within(epoch: Column, first: date, last: date) -> Column:
     return (epoch >= F.lit(epoch_of(first))) & (epoch < F.lit(epoch_of(last + timedelta(days=1))))
 
 
-def day_within(day: Column, first: date, last: date) -> Column:
-    return day.between(F.lit(first), F.lit(last))
+def day_within(day: str, first: date, last: date) -> str:
+    """SQL condition for days first..last, inclusive."""
+    return f"{day} BETWEEN DATE '{first}' AND DATE '{last}'"
 
 
 def monday_of(day: date) -> date:
     return day - timedelta(days=day.weekday())
 
 
-def bit_words(offset: Column, length: int, when: Column) -> list[Column]:
-    """Aggregates that mark 0-based offsets below `length` in 64-bit words.
+def bit_words(offset: str, length: int, when: str) -> list[str]:
+    """SQL aggregates that mark 0-based offsets below `length` in 64-bit words.
 
     Together with :func:`bits_set` this is an exact distinct count of a small integer range
     in a few long buffers: it merges map-side and needs no Expand per distinct count.
     """
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(offset, F.lit(64)).cast("int"))
-    word = F.floor(offset / F.lit(64))
-    return [F.bit_or(F.when(when & (word == F.lit(k)), bit)) for k in range(-(-length // 64))]
+    bit = f"shiftleft(1L, CAST(pmod({offset}, 64) AS INT))"
+    return [f"bit_or(IF({when} AND {offset} DIV 64 = {k}, {bit}, NULL))" for k in range(-(-length // 64))]
 
 
-def bits_set(words: list[Column]) -> Column:
-    total = F.lit(0).cast("bigint")
-    for word in words:
-        total = total + F.coalesce(F.bit_count(word), F.lit(0))
-    return total
+def bits_set(words: list[str]) -> str:
+    """SQL for the number of marked offsets."""
+    return "CAST(" + " + ".join(f"bit_count(coalesce({word}, 0L))" for word in words) + " AS BIGINT)"

@@ -36,19 +36,15 @@ def parse_flag(value: Column, default: int = 0) -> Column:
     )
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    """Quotient where the denominator is positive, otherwise 0."""
-    return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))
+def ratio(numerator: str, denominator: str) -> str:
+    """SQL for the quotient where the denominator is positive, otherwise 0."""
+    return f"IF({denominator} > 0, {numerator} / {denominator}, 0.0D)"
 
 
 def flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
 
 
-def total_where(value: Column, condition: Column) -> Column:
-    return F.sum(F.when(condition, value).otherwise(F.lit(0.0)))
-
-
 def capped(value: Column, cap: float | None) -> Column:
     """Upper winsorisation. Unlike `least`, a null value stays null."""
     if cap is None:

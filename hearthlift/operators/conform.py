@@ -50,21 +50,18 @@ def column_or(df: DataFrame, name: str, default: Any, kind: str) -> Column:
 
 
 def filled(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
-    """Replace nulls by the defaults and add absent columns, in one projection."""
-    return df.withColumns(
-        {
-            name: F.coalesce(F.col(name), F.lit(default)) if name in df.columns else F.lit(default)
-            for name, default in defaults.items()
-        }
-    )
+    """Replace nulls by the defaults and add absent columns."""
+    absent = {name: F.lit(default) for name, default in defaults.items() if name not in df.columns}
+    present = {name: default for name, default in defaults.items() if name in df.columns}
+    return df.fillna(present).withColumns(absent) if present else df.withColumns(absent)
 
 
 def typed(df: DataFrame, schema: StructType) -> DataFrame:
     """The schema's columns in its order and types; absent columns become typed nulls."""
     present = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema.fields
         ]
     )

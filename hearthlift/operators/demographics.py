@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthlift import schemas as S
@@ -33,61 +33,65 @@ def current_people(demographics: DataFrame) -> DataFrame:
     return df.drop(*keys)
 
 
-def _income_conditions(code: Column) -> dict[str, Column]:
-    """Condition of every income count; the profile labels are the keys."""
-    return {
-        "missing": code.isNull(),
-        "zero_or_negative": code <= 0,
-        **{f"code_{n}": code == n for n in S.INCOME_CODES},
-        "other": code > S.INCOME_CODES[-1],
-    }
+# Profile name -> condition, in the order of the income count columns.
+_INCOME_CONDITIONS = {
+    "missing": "income IS NULL",
+    "zero_or_negative": "income <= 0",
+    **{f"code_{n}": f"income = {n}" for n in S.INCOME_CODES},
+    "other": f"income > {S.INCOME_CODES[-1]}",
+}
 
 
-def _age_condition(age: Column, first: int | None, last: int | None) -> Column:
+def _age_condition(first: int | None, last: int | None) -> str:
     if first is None:
-        return age < last
+        return f"age < {last}"
     if last is None:
-        return age >= first
-    return age.between(first, last)
+        return f"age >= {first}"
+    return f"age BETWEEN {first} AND {last}"
 
 
-def household_demographics(people: DataFrame) -> DataFrame:
-    """One aggregation of conditional counts, then labels. Every aggregate combines map-side; the
-    number of states is only needed as none, one or several, which min and max tell."""
-    child = clean_text(F.col("poc"))
-    gender = clean_text(F.col("gender"))
-    state = F.when(has_text(F.col("state")), F.trim(F.col("state")))
-    age = F.col("age").try_cast("double")
-    income = _income_conditions(whole(F.col("hh_income")))
-
+def _count_conditions() -> dict[str, str]:
     male, female, other = S.GENDER_COUNTS
-    is_male, is_female = gender.isin("m", "male"), gender.isin("f", "female")
-    counts = {
-        "_with_child": child.isin("true", "1", "yes", "y"),
-        "_without_child": child.isin("false", "0", "no", "n"),
-        **dict(zip(S.INCOME_COUNTS, income.values())),
+    is_male, is_female = "gender IN ('m', 'male')", "gender IN ('f', 'female')"
+    return {
+        "with_child": "child IN ('true', '1', 'yes', 'y')",
+        "without_child": "child IN ('false', '0', 'no', 'n')",
+        **dict(zip(S.INCOME_COUNTS, _INCOME_CONDITIONS.values())),
         male: is_male,
         female: is_female,
-        other: gender.isNull() | ~(is_male | is_female),
-        "_age_known": age.isNotNull(),
-        "age_missing_count": age.isNull(),
-        **{f"age_{name}_count": _age_condition(age, first, last) for name, first, last, _ in S.AGE_BUCKETS},
+        other: f"gender IS NULL OR NOT ({is_male} OR {is_female})",
+        "age_known": "age IS NOT NULL",
+        "age_missing_count": "age IS NULL",
+        **{f"age_{name}_count": _age_condition(first, last) for name, first, last, _ in S.AGE_BUCKETS},
     }
-    counted = people.groupBy(S.HOUSEHOLD).agg(
-        *[F.count_if(condition).alias(name) for name, condition in counts.items()],
-        F.min(state).alias("_lowest_state"),
-        F.max(state).alias("_highest_state"),
+
+
+def household_demographics(people: DataFrame) -> DataFrame:
+    """One aggregation of conditional counts, then labels. Every aggregate combines map-side; the
+    number of states is only needed as none, one or several, which min and max tell."""
+    state = F.col("state")
+    cleaned = people.select(
+        S.HOUSEHOLD,
+        clean_text(F.col("poc")).alias("child"),
+        clean_text(F.col("gender")).alias("gender"),
+        F.when(has_text(state), F.trim(state)).alias("state"),
+        F.col("age").try_cast("double").alias("age"),
+        whole(F.col("hh_income")).alias("income"),
+    )
+    counted = cleaned.groupBy(S.HOUSEHOLD).agg(
+        *[F.expr(f"count_if({condition}) AS {name}") for name, condition in _count_conditions().items()],
+        F.expr("min(state) AS lowest_state"),
+        F.expr("max(state) AS highest_state"),
     )
-    ages = {name: F.col(f"age_{name}_count") for name, *_ in S.AGE_BUCKETS}
-    incomes = {name: F.col(column) for name, column in zip(income, S.INCOME_COUNTS)}
+    ages = {name: f"age_{name}_count" for name, *_ in S.AGE_BUCKETS}
     return counted.select(
         S.HOUSEHOLD,
-        child_label(F.col("_with_child"), F.col("_without_child")).alias("poc_label"),
-        count_profile(incomes).alias("hh_income_code_profile_label"),
+        child_label("with_child", "without_child").alias("poc_label"),
+        count_profile(dict(zip(_INCOME_CONDITIONS, S.INCOME_COUNTS))).alias("hh_income_code_profile_label"),
         *S.INCOME_COUNTS,
-        state_label(F.col("_lowest_state"), F.col("_highest_state")).alias("state_label"),
+        state_label("lowest_state", "highest_state").alias("state_label"),
         *S.GENDER_COUNTS,
-        presence_profile(ages, F.col("_age_known")).alias("age_bucket_profile_label"),
+        presence_profile(ages, "age_known").alias("age_bucket_profile_label"),
         "age_missing_count",
         *S.AGE_COUNTS,
     )

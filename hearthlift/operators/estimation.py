@@ -160,7 +160,7 @@ def with_model_columns(df: DataFrame, outcome: str) -> DataFrame:
             "est_age": estimated_age(),
             "est_income_code": estimated_income_code(),
             **{
-                name: ordinal(F.col(label), order)
+                name: ordinal(label, order)
                 for name, label, order in (
                     ("revenue_bin_ordinal", "baseline_12m_revenue_sum_bin", S.SPEND_TIER_ORDER),
                     ("buyer_label_ordinal", "baseline_buyer_label", S.BUYER_LABEL_ORDER),

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType
 
 from hearthlift import schemas as S
 from hearthlift.config import CampaignConfig
 from hearthlift.functions.labels import affinity_label, buyer_label, spend_tier
-from hearthlift.functions.values import flag, parse_flag, ratio
-from hearthlift.operators.conform import column_or, conform, filled, typed
+from hearthlift.functions.values import parse_flag, ratio
+from hearthlift.operators.conform import column_or, conform, typed
 from hearthlift.operators.demographics import current_people, household_demographics
 from hearthlift.operators.purchases import household_purchases
 
@@ -42,44 +42,28 @@ def with_behaviour(df: DataFrame, config: CampaignConfig) -> DataFrame:
     campaign only then look alike before the campaign, as they should. Otherwise the labels, which
     are matching keys, would tell who bought during the campaign.
     """
-    last, first = F.col("last_baseline_day"), F.col("first_baseline_day")
-    orders, revenue = F.col("baseline_12m_orders"), F.col("baseline_12m_revenue_sum")
-    recent_orders, product_orders = F.col("baseline_60d_orders"), F.col("baseline_campaign_product_orders")
-    recency = F.coalesce(F.datediff(F.lit(config.baseline_end), last), F.lit(config.never_purchased_days))
-    labels = dict(
-        zip(_LABELS, (spend_tier(revenue), affinity_label(product_orders), buyer_label(recent_orders, orders)))
-    )
+    orders, revenue = "baseline_12m_orders", "baseline_12m_revenue_sum"
+    recent, product = "baseline_60d_orders", "baseline_campaign_product_orders"
+    labels = dict(zip(_LABELS, (spend_tier(revenue), affinity_label(product), buyer_label(recent, orders))))
     if config.no_history_labels == "missing":
-        labels = {name: F.when(F.col("_has_rows"), label).otherwise("missing") for name, label in labels.items()}
-    return df.withColumns(
-        {
-            "has_baseline_purchase": flag(last.isNotNull()),
-            "days_since_last_baseline_purchase": recency,
-            "baseline_purchase_tenure_days": F.coalesce(F.datediff(last, first), F.lit(0)),
-            "baseline_12m_avg_order_value": ratio(revenue, orders),
-            "baseline_12m_avg_items_per_order": ratio(F.col("baseline_12m_quantity_sum"), orders),
-            "recent_60d_revenue_share": ratio(F.col("baseline_60d_revenue"), revenue),
-            "recent_60d_order_share": ratio(recent_orders, orders),
-            "campaign_product_revenue_share": ratio(F.col("baseline_campaign_product_revenue"), revenue),
-            "prior_campaign_product_buyer": flag(product_orders > 0),
-            "recent_60d_buyer": flag(recent_orders > 0),
-            "lapsed_60d_buyer": flag((orders > 0) & (recent_orders == 0)),
-            "outcome_campaign_product_buyer": flag(F.col("outcome_campaign_product_orders") > 0),
-            **labels,
-        }
-    )
-
-
-def _defaults(df: DataFrame) -> dict:
-    """Fill values by type: counts 0, sums 0.0, texts 'missing'. Days and the first exposure keep nulls."""
-    fills = {}
-    for f in df.schema.fields:
-        if f.name in (S.HOUSEHOLD, "min_exposure_ts", "first_baseline_day", "last_baseline_day"):
-            continue
-        fills[f.name] = (
-            "missing" if f.dataType == StringType() else 0.0 if f.dataType == DoubleType() else 0
-        )
-    return fills
+        labels = {name: F.when(F.col("has_rows"), label).otherwise("missing") for name, label in labels.items()}
+    derived = {
+        "has_baseline_purchase": "IF(last_baseline_day IS NOT NULL, 1, 0)",
+        "days_since_last_baseline_purchase": (
+            f"coalesce(datediff(DATE '{config.baseline_end}', last_baseline_day), {config.never_purchased_days})"
+        ),
+        "baseline_purchase_tenure_days": "coalesce(datediff(last_baseline_day, first_baseline_day), 0)",
+        "baseline_12m_avg_order_value": ratio(revenue, orders),
+        "baseline_12m_avg_items_per_order": ratio("baseline_12m_quantity_sum", orders),
+        "recent_60d_revenue_share": ratio("baseline_60d_revenue", revenue),
+        "recent_60d_order_share": ratio(recent, orders),
+        "campaign_product_revenue_share": ratio("baseline_campaign_product_revenue", revenue),
+        "prior_campaign_product_buyer": f"IF({product} > 0, 1, 0)",
+        "recent_60d_buyer": f"IF({recent} > 0, 1, 0)",
+        "lapsed_60d_buyer": f"IF({orders} > 0 AND {recent} = 0, 1, 0)",
+        "outcome_campaign_product_buyer": "IF(outcome_campaign_product_orders > 0, 1, 0)",
+    }
+    return df.withColumns({**{name: F.expr(text) for name, text in derived.items()}, **labels})
 
 
 def household_features(
@@ -91,9 +75,11 @@ def household_features(
     no more than the assignment's own shuffle, and no side has a household twice.
     """
     roster = household_roster(assignment)
-    purchases = household_purchases(conversions, config).withColumn("_has_rows", F.lit(True))
+    purchases = household_purchases(conversions, config).withColumn("has_rows", F.lit(True))
     people = household_demographics(current_people(demographics))
     joined = roster.join(purchases, S.HOUSEHOLD, "left").join(people, S.HOUSEHOLD, "left")
-    marked = joined.withColumn("_has_rows", F.col("_has_rows").isNotNull())
-    fills = {name: value for name, value in _defaults(marked).items() if name != "_has_rows"}
-    return typed(with_behaviour(filled(marked, fills), config), S.ALL_FEATURES)
+    # What a household has no rows for: counts 0, sums 0.0, texts 'missing', flags false.
+    kinds = {StringType(): "missing", DoubleType(): 0.0, LongType(): 0, BooleanType(): False}
+    fills = {f.name: kinds[f.dataType] for f in [*purchases.schema, *people.schema] if f.dataType in kinds}
+    del fills[S.HOUSEHOLD]
+    return typed(with_behaviour(joined.fillna(fills), config), S.ALL_FEATURES)

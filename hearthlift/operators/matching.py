@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from hearthlift import schemas as S
 from hearthlift.config import CampaignConfig
 from hearthlift.functions.hashing import sampled
-from hearthlift.functions.labels import first_true
 from hearthlift.functions.values import caliper_bin, clipped, filled_text, has_text
 from hearthlift.operators.conform import conform, filled, typed
 from hearthlift.operators.ranking import match_one_to_one
@@ -68,7 +67,7 @@ def stratify(features: DataFrame, config: CampaignConfig) -> DataFrame:
             }
         ).withColumns(
             {
-                "treatment_group": first_true([(is_treated(), "treatment")], "candidate_control"),
+                "treatment_group": F.when(is_treated(), "treatment").otherwise("candidate_control"),
                 "sampled_unit": F.lit(1),
             }
         ),
@@ -140,7 +139,7 @@ def propensity_match(scored: DataFrame, config: CampaignConfig) -> DataFrame:
     return typed(
         caliper_match(scored, config).withColumns(
             {
-                "treatment_group": first_true([(is_treated(), "treatment")], "matched_control"),
+                "treatment_group": F.when(is_treated(), "treatment").otherwise("matched_control"),
                 "sampled_unit": F.lit(1),
                 "stratum_rank": only(~is_treated(), F.col("arm_rank")),
                 "treatment_addresslinks": only(is_treated(), household),

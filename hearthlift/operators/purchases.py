@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthlift import schemas as S
 from hearthlift.config import CampaignConfig
 from hearthlift.functions.calendar import bit_words, bits_set, date_of, day_within, monday_of
-from hearthlift.functions.values import flag, total_where, whole
+from hearthlift.functions.values import whole
 from hearthlift.operators.conform import conform, require_any_column
 
 _REQUIRED = [S.HOUSEHOLD, "order_id", "transaction_amount", "quantity", "is_campaign_product"]
@@ -27,23 +27,22 @@ def prepared_conversions(conversions: DataFrame) -> DataFrame:
         S.HOUSEHOLD,
         "order_id",
         *optional,
-        day.alias("transaction_date"),
-        F.col("transaction_amount").cast("double").alias("transaction_amount"),
+        day.alias("day"),
+        F.col("transaction_amount").cast("double").alias("amount"),
         F.col("quantity").cast("double").alias("quantity"),
-        F.coalesce(whole(F.col("is_campaign_product")), F.lit(0)).alias("is_campaign_product"),
+        F.coalesce(whole(F.col("is_campaign_product")), F.lit(0)).alias("product"),
     )
 
 
-def purchase_windows(config: CampaignConfig) -> dict[str, Column]:
-    """The five row sets that purchases are counted in."""
-    day, product = F.col("transaction_date"), F.col("is_campaign_product") == 1
-    baseline = day_within(day, config.baseline_start, config.baseline_end)
-    campaign = day_within(day, config.flight_start, config.flight_end)
+def purchase_windows(config: CampaignConfig) -> dict[str, str]:
+    """SQL conditions of the five row sets that purchases are counted in."""
+    baseline = day_within("day", config.baseline_start, config.baseline_end)
+    campaign = day_within("day", config.flight_start, config.flight_end)
     return {
         "baseline_12m": baseline,
-        "baseline_60d": day_within(day, config.recent_start, config.baseline_end),
-        "baseline_campaign_product": baseline & product,
-        "outcome_campaign_product": campaign & product,
+        "baseline_60d": day_within("day", config.recent_start, config.baseline_end),
+        "baseline_campaign_product": f"{baseline} AND product = 1",
+        "outcome_campaign_product": f"{campaign} AND product = 1",
         "outcome_total_campaign": campaign,
     }
 
@@ -78,62 +77,47 @@ def household_purchases(conversions: DataFrame, config: CampaignConfig) -> DataF
     df = prepared_conversions(conversions)
     windows = purchase_windows(config)
     baseline = windows["baseline_12m"]
-    day, amount = F.col("transaction_date"), F.col("transaction_amount")
     kinds = ["order_id", *[c for c in ("banner", "division") if c in df.columns]]
 
-    first_monday = monday_of(config.baseline_start)
-    weeks = (config.baseline_end - first_monday).days // 7 + 1
-    day_bits = bit_words(F.datediff(day, F.lit(config.baseline_start)), config.baseline_days, baseline)
-    week_bits = bit_words(F.floor(F.datediff(day, F.lit(first_monday)) / F.lit(7)), weeks, baseline)
-    day_names = [f"_days_{i}" for i in range(len(day_bits))]
-    week_names = [f"_weeks_{i}" for i in range(len(week_bits))]
-
-    per_order = [F.max(flag(condition)).alias(f"_in_{name}") for name, condition in windows.items()]
-    for name, condition in windows.items():
-        _, revenue, quantity = _MEASURES[name]
-        # Returns have negative amounts: they count in quantities but not in revenue.
-        per_order.append(total_where(amount, condition & (amount > 0)).alias(revenue))
-        if quantity:
-            per_order.append(total_where(F.col("quantity"), condition).alias(quantity))
-    sums = [c for _, revenue, quantity in _MEASURES.values() for c in (revenue, quantity) if c]
+    monday = monday_of(config.baseline_start)
+    weeks = (config.baseline_end - monday).days // 7 + 1
+    day_words = bit_words(f"datediff(day, DATE '{config.baseline_start}')", config.baseline_days, baseline)
+    week_words = bit_words(f"(datediff(day, DATE '{monday}') DIV 7)", weeks, baseline)
+    words = {f"days_{i}": w for i, w in enumerate(day_words)} | {f"weeks_{i}": w for i, w in enumerate(week_words)}
 
+    # Returns have negative amounts: they count in quantities but not in revenue.
+    sums = {revenue: f"{windows[name]} AND amount > 0, amount" for name, (_, revenue, _) in _MEASURES.items()}
+    sums |= {quantity: f"{windows[name]}, quantity" for name, (_, _, quantity) in _MEASURES.items() if quantity}
     groups = df.groupingSets([[S.HOUSEHOLD, kind] for kind in kinds], S.HOUSEHOLD, *kinds).agg(
-        *[F.grouping(kind).alias(f"_not_{kind}") for kind in kinds],
-        *per_order,
-        F.count_if(baseline & (amount < 0)).alias("_returns"),
-        F.min(F.when(baseline, day)).alias("_first_day"),
-        F.max(F.when(baseline, day)).alias("_last_day"),
-        *[bits.alias(name) for bits, name in zip(day_bits + week_bits, day_names + week_names)],
+        *[F.expr(f"grouping({kind}) AS not_{kind}") for kind in kinds],
+        *[F.expr(f"max(IF({condition}, 1, 0)) AS in_{name}") for name, condition in windows.items()],
+        *[F.expr(f"sum(IF({value}, 0.0D)) AS {name}") for name, value in sums.items()],
+        F.expr(f"count_if({baseline} AND amount < 0) AS returns"),
+        F.expr(f"min(IF({baseline}, day, NULL)) AS first_day"),
+        F.expr(f"max(IF({baseline}, day, NULL)) AS last_day"),
+        *[F.expr(f"{aggregate} AS {name}") for name, aggregate in words.items()],
     )
 
-    order_row = F.col("_not_order_id") == 0
-    real_order = order_row & F.col("order_id").isNotNull()
-
-    def distinct_in_baseline(kind: str) -> Column:
+    def distinct(kind: str, condition: str, name: str):
         if kind not in kinds:
-            return F.max(F.lit(0)).cast("bigint")
-        return F.count_if((F.col(f"_not_{kind}") == 0) & F.col(kind).isNotNull() & (F.col("_in_baseline_12m") == 1))
+            return F.expr(f"CAST(max(0) AS BIGINT) AS {name}")
+        return F.expr(f"count_if(not_{kind} = 0 AND {kind} IS NOT NULL AND {condition}) AS {name}")
 
     return (
         groups.groupBy(S.HOUSEHOLD)
         .agg(
-            *[
-                F.count_if(real_order & (F.col(f"_in_{name}") == 1)).alias(_MEASURES[name][0])
-                for name in windows
-            ],
-            *[F.sum(F.when(order_row, F.col(c)).otherwise(0.0)).alias(c) for c in sums],
-            F.sum(F.when(order_row, F.col("_returns")).otherwise(0)).alias("baseline_12m_negative_transaction_count"),
-            distinct_in_baseline("banner").alias("baseline_12m_distinct_banners"),
-            distinct_in_baseline("division").alias("baseline_12m_distinct_divisions"),
-            F.min("_first_day").alias("first_baseline_day"),
-            F.max("_last_day").alias("last_baseline_day"),
-            *[F.bit_or(name).alias(name) for name in day_names + week_names],
+            *[distinct("order_id", f"in_{name} = 1", orders) for name, (orders, _, _) in _MEASURES.items()],
+            *[F.expr(f"sum(IF(not_order_id = 0, {name}, 0.0D)) AS {name}") for name in sums],
+            F.expr("sum(IF(not_order_id = 0, returns, 0L)) AS baseline_12m_negative_transaction_count"),
+            distinct("banner", "in_baseline_12m = 1", "baseline_12m_distinct_banners"),
+            distinct("division", "in_baseline_12m = 1", "baseline_12m_distinct_divisions"),
+            F.expr("min(first_day) AS first_baseline_day"),
+            F.expr("max(last_day) AS last_baseline_day"),
+            *[F.expr(f"bit_or({name}) AS {name}") for name in words],
         )
-        .withColumns(
-            {
-                "baseline_12m_active_purchase_days": bits_set([F.col(c) for c in day_names]),
-                "num_weeks_purchased_in_last_365_days": bits_set([F.col(c) for c in week_names]),
-            }
+        .selectExpr(
+            "* EXCEPT (" + ", ".join(words) + ")",
+            bits_set([w for w in words if w.startswith("days")]) + " AS baseline_12m_active_purchase_days",
+            bits_set([w for w in words if w.startswith("weeks")]) + " AS num_weeks_purchased_in_last_365_days",
         )
-        .drop(*day_names, *week_names)
     )
