@@ -251,9 +251,9 @@ def current_demographics(spark, folder):
 
 @query(O.chain(("demographics",), """
   SELECT addressLink, gender, age, state FROM (
-    SELECT addressLink, gender, CAST(age AS VARCHAR) AS age, CAST(state AS VARCHAR) AS state,
+    SELECT addressLink, gender, age, state,
            ROW_NUMBER() OVER (PARTITION BY addressLink ORDER BY install_date DESC NULLS LAST, gender NULLS LAST,
-                              CAST(age AS VARCHAR) NULLS LAST) AS rn
+                              age NULLS LAST) AS rn
     FROM demographics WHERE trim(addressLink) <> '') WHERE rn = 1"""))
 def current_people_by_household(spark, folder):
     """The newest record per household, where online identities are not delivered."""

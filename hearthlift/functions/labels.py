@@ -46,8 +46,9 @@ def child_label(with_child: str, without_child: str) -> Column:
 
 def state_label(lowest: str, highest: str) -> Column:
     """One state, none, or several; two or more distinct states exist exactly if lowest < highest."""
+    one = f"CAST({highest} AS STRING)"
     return F.expr(
-        f"CASE WHEN {lowest} IS NULL THEN 'missing' WHEN {lowest} <> {highest} THEN 'mixed_or_multiple' ELSE {highest} END"
+        f"CASE WHEN {lowest} IS NULL THEN 'missing' WHEN {lowest} <> {highest} THEN 'mixed_or_multiple' ELSE {one} END"
     )
 
 

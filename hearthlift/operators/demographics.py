@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from hearthlift import schemas as S
 from hearthlift.functions.labels import child_label, count_profile, presence_profile, state_label
 from hearthlift.functions.values import clean_text, has_text, whole
-from hearthlift.operators.conform import column_or, conform
+from hearthlift.operators.conform import conform
 from hearthlift.operators.ranking import latest_per_key
 
 _ATTRIBUTES = ("gender", "age", "state", "hh_income", "poc")
@@ -23,7 +24,7 @@ def current_people(demographics: DataFrame) -> DataFrame:
     df = conform(demographics, S.DEMOGRAPHICS, [S.HOUSEHOLD], "demographics")
     df = df.where(has_text(F.col(S.HOUSEHOLD)))
     keys = [c for c in ("rampid", "install_date") if c in df.columns]
-    df = df.select(S.HOUSEHOLD, *keys, *[column_or(df, c, None, "string") for c in _ATTRIBUTES])
+    df = df.select(S.HOUSEHOLD, *keys, *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in _ATTRIBUTES])
     if "install_date" not in keys:
         return df.drop("rampid")
     if "rampid" in keys:
@@ -68,13 +69,16 @@ def _count_conditions() -> dict[str, str]:
 
 def household_demographics(people: DataFrame) -> DataFrame:
     """One aggregation of conditional counts, then labels. Every aggregate combines map-side; the
-    number of states is only needed as none, one or several, which min and max tell."""
+    number of states is only needed as none, one or several, which min and max tell. Numeric state
+    codes are compared as numbers, which keeps the whole aggregation a hash aggregation."""
     state = F.col("state")
+    if isinstance(people.schema["state"].dataType, StringType):
+        state = F.when(has_text(state), F.trim(state))
     cleaned = people.select(
         S.HOUSEHOLD,
         clean_text(F.col("poc")).alias("child"),
         clean_text(F.col("gender")).alias("gender"),
-        F.when(has_text(state), F.trim(state)).alias("state"),
+        state.alias("state"),
         F.col("age").try_cast("double").alias("age"),
         whole(F.col("hh_income")).alias("income"),
     )

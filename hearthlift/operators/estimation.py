@@ -134,6 +134,8 @@ class Learner:
         }
 
 
+ROWS_PER_FITTING_TASK = 50_000
+
 LINEAR = Learner("linear")
 TREES = Learner("trees")
 
@@ -226,12 +228,13 @@ def cross_fit(design: DataFrame, learner: Learner, config: CampaignConfig) -> Da
     scored once. The fits do not depend on each other and are submitted side by side.
     """
 
-    def training(fold: int) -> DataFrame:
-        return design.where(F.col("fold") != fold)
+    # Boosting runs hundreds of short jobs per fit, so small tables are read in few tasks.
+    tasks_wanted = -(-design.count() // ROWS_PER_FITTING_TASK) or 1
 
     def fit(task):
         model, fold = task
-        return model.fit(training(fold).drop(S.HOUSEHOLD))
+        training = design.where(F.col("fold") != fold).drop(S.HOUSEHOLD)
+        return model.fit(training.coalesce(tasks_wanted))
 
     tasks = [
         (make(config.seed), fold)

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthlift.functions.hashing import order_hash, order_slice
+from hearthlift.sources.staging import stage
+
+# Rows of the slice table up to which it is broadcast, some tens of megabytes.
+BROADCAST_SLICES = 500_000
 
 
 def first_per_key(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
@@ -40,31 +44,17 @@ def match_one_to_one(
 
     A group can hold a third of all rows, so it is never sorted in one task: rows are counted
     per group, arm and hash slice, the counts give each slice its starting rank, and only rows
-    inside a slice are sorted. Slices that start beyond the quota are dropped unsorted.
-    Reads `df` twice: pass a written table.
+    inside a slice are sorted. Slices that start beyond the quota are dropped unsorted; where the
+    table of slices is small enough to broadcast, they are dropped before anything is shuffled.
+    Reads `df` twice, the first time at once: pass a written table.
     """
     arm = [*groups, treatment]
-    # Rename to keep the join's two sides apart.
     sliced = df.withColumn("_hash", order_hash(F.col(key), hash_method)).withColumn(
         "_slice", order_slice(F.col("_hash"), hash_method)
     )
-    sizes = sliced.groupBy(*arm, "_slice").agg(F.count("*").alias("_rows"))
-    earlier = Window.partitionBy(*arm).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)
-    starts = (
-        sizes.select(
-            *arm,
-            "_slice",
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-            F.sum(F.when(F.col(treatment) == 1, F.col("_rows")).otherwise(0)).over(whole).alias("group_treated"),
-            F.sum(F.when(F.col(treatment) == 0, F.col("_rows")).otherwise(0)).over(whole).alias("group_controls"),
-        )
-        # Sort nothing that cannot be chosen.
-        .where(
-            (F.col("group_treated") > 0)
-            & ((F.col(treatment) == 1) | (F.col("_before") < F.col("group_treated")))
-        )
-    )
+    starts = stage(_slice_starts(sliced, groups, treatment), "slice-starts")
+    if starts.count() <= BROADCAST_SLICES:
+        starts = F.broadcast(starts)
     within = Window.partitionBy(*arm, "_slice").orderBy("_hash", key)
     return (
         sliced.join(starts, [*arm, "_slice"])
@@ -72,3 +62,22 @@ def match_one_to_one(
         .where((F.col(treatment) == 1) | (F.col("arm_rank") <= F.col("group_treated")))
         .drop("_hash", "_slice", "_before")
     )
+
+
+def _slice_starts(sliced: DataFrame, groups: Sequence[str], treatment: str) -> DataFrame:
+    """Per group, arm and slice that can be chosen from: rows of the arm in earlier slices, and
+    the sizes of both arms. A group has at most 4,096 slices per arm, so its windows are small."""
+    arm = [*groups, treatment]
+    rows, is_treated = F.col("_rows"), F.col(treatment) == 1
+    sizes = sliced.groupBy(*arm, "_slice").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(*arm).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*groups)
+    starts = sizes.select(
+        *arm,
+        "_slice",
+        F.coalesce(F.sum(rows).over(earlier), F.lit(0)).alias("_before"),
+        F.sum(F.when(is_treated, rows).otherwise(0)).over(group).alias("group_treated"),
+        F.sum(F.when(~is_treated, rows).otherwise(0)).over(group).alias("group_controls"),
+    )
+    needed = is_treated | (F.col("_before") < F.col("group_treated"))
+    return starts.where((F.col("group_treated") > 0) & needed)
