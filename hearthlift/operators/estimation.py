@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -15,7 +16,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthlift import schemas as S
@@ -135,6 +136,7 @@ class Learner:
 
 
 ROWS_PER_FITTING_TASK = 50_000
+SKETCH_ACCURACY = 10_000
 
 LINEAR = Learner("linear")
 TREES = Learner("trees")
@@ -173,10 +175,46 @@ def with_model_columns(df: DataFrame, outcome: str) -> DataFrame:
     )
 
 
-def upper_limits(df: DataFrame, columns: Sequence[str], share: float = 0.99) -> dict[str, float]:
-    """Quantile of every column in one pass of mergeable sketches, exact to 0.01 % of the rank."""
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), share, 10_000).alias(c) for c in columns]).first()
-    return row.asDict()
+def upper_limits(df: DataFrame, columns: Sequence[str], share: float = 0.99) -> dict[str, float | None]:
+    """Exact quantile of every column: the smallest value with at least `share` of the values up to it.
+
+    A mergeable sketch narrows each column to a strip around the quantile. If the table is large
+    enough for the sketch to be inexact, the values inside the strips are counted and ranked, which
+    touches a few ten-thousandths of the rows; repeated values are combined first. The result
+    therefore does not depend on how rows are merged, as a sketch alone would.
+    """
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    margin = 2 / SKETCH_ACCURACY
+    while True:
+        shares = [max(share - margin, 0.0), share, min(share + margin, 1.0)]
+        strips = numbers.agg(
+            *[F.percentile_approx(c, shares, SKETCH_ACCURACY).alias(c) for c in columns],
+            F.count("*").alias("_rows"),
+        ).first()
+        if strips["_rows"] * margin < 1 or margin > 1:
+            return {c: strips[c][1] if strips[c] else None for c in columns}
+        limits = _ranked_in_strip(numbers, {c: strips[c] for c in columns if strips[c]}, share)
+        if limits is not None:
+            return {c: limits.get(c) for c in columns}
+        margin *= 10
+
+
+def _ranked_in_strip(numbers: DataFrame, strips: dict[str, list[float]], share: float) -> dict[str, float] | None:
+    """Quantile by rank among the values of each strip; None if a quantile lies outside its strip."""
+    sides = numbers.agg(
+        *[F.count(c).alias(f"n_{c}") for c in strips],
+        *[F.count_if(F.col(c) < low).alias(f"below_{c}") for c, (low, _, _) in strips.items()],
+    ).first()
+    wanted = {c: math.ceil(share * sides[f"n_{c}"]) - sides[f"below_{c}"] for c in strips}
+    inside = numbers.select(
+        *[F.when(F.col(c).between(low, high), F.col(c)).alias(c) for c, (low, _, high) in strips.items()]
+    ).unpivot([], list(strips), "name", "value")
+    counted = inside.where(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(Window.partitionBy("name").orderBy("value"))
+    rank = F.expr("CASE name " + " ".join(f"WHEN '{c}' THEN {k}" for c, k in wanted.items()) + " END")
+    found = counted.withColumn("upto", upto).where(F.col("upto") >= rank).groupBy("name").agg(F.min("value").alias("limit"))
+    limits = {row["name"]: row["limit"] for row in found.collect()}
+    return limits if len(limits) == len(strips) and min(wanted.values(), default=1) >= 1 else None
 
 
 def winsorised(df: DataFrame, limits: dict[str, float]) -> DataFrame:

@@ -150,6 +150,23 @@ def test_limits_and_capping(spark):
     assert capped.where("b IS NULL").count() == 333
 
 
+def test_limits_of_a_large_table_are_exact(spark):
+    """More rows than the sketch keeps; a third of one column is a single value."""
+    df = spark.range(200_000).selectExpr(
+        f"pow({uniform(1)}, 3) AS a", f"IF(id % 3 = 0, 0, {uniform(2)}) AS b", "IF(id % 2 = 0, 7.0D, 1.0D) AS c",
+        "CAST(NULL AS DOUBLE) AS d", f"IF(id % 5 = 0, NULL, floor(1000 * {uniform(3)})) AS e",
+    )
+    pdf = df.toPandas()
+    want = {c: pdf[c].dropna().quantile(0.99, interpolation="higher") for c in "abce"}
+    for layout in (df, df.repartition(11)):
+        got = E.upper_limits(layout, list("abcde"))
+        assert got.pop("d") is None
+        for c in "abce":
+            values = pdf[c].dropna().sort_values(ignore_index=True)
+            assert got[c] == values[math.ceil(0.99 * len(values)) - 1]
+            assert abs(got[c] - want[c]) <= 1
+
+
 def test_segment_rules(spark):
     df = spark.createDataFrame(
         [(1, 30, 35.0, 20.0), (0, 29, 55.0, 19.9)],
