@@ -23,6 +23,7 @@ from hearthlift.operators import matching as M
 from hearthlift.operators.conform import conform, filled, typed, with_baseline_flag
 from hearthlift.operators.demographics import current_people, household_demographics
 from hearthlift.operators.purchases import household_purchases
+from hearthlift.operators.skew import hot_keys
 from hearthlift.plans.campaign import prepare_households
 from hearthlift.plans.retail_sources import RETAIL_CAMPAIGN, retail_sources
 from hearthlift.sources.staging import stage, staging_root
@@ -347,6 +348,16 @@ def identities_with_exposure(spark, folder):
     return X.identities_with_exposure(identities, exposed, []).drop("Grouping_Indicator", "hhpel").distinct()
 
 
+@query(O.chain(("online",), "SELECT * FROM online"))
+def identities_with_exposure_spread(spark, folder):
+    """The same with every widely shared identity spread over many tasks."""
+    sources = retail_sources(spark, folder)
+    identities = I.identity_households(sources["mapping"], sources["demographics"])
+    exposed = X.exposed_identities(X.flight_exposures(sources["exposure"], CONFIG))
+    hot = hot_keys(sources["mapping"], "rampid_meta", share=0.0001, min_rows=3)
+    return X.identities_with_exposure(identities, exposed, hot).drop("Grouping_Indicator", "hhpel").distinct()
+
+
 @query(O.chain(("raw_exposure",), f"SELECT {names_of(S.RAW_EXPOSURE)} FROM raw_exposure"))
 def household_assignment(spark, folder):
     sources = retail_sources(spark, folder)
