@@ -24,7 +24,8 @@ def current_people(demographics: DataFrame) -> DataFrame:
     df = conform(demographics, S.DEMOGRAPHICS, [S.HOUSEHOLD], "demographics")
     df = df.where(has_text(F.col(S.HOUSEHOLD)))
     keys = [c for c in ("rampid", "install_date") if c in df.columns]
-    df = df.select(S.HOUSEHOLD, *keys, *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in _ATTRIBUTES])
+    attributes = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in _ATTRIBUTES]
+    df = df.select(S.HOUSEHOLD, *keys, *attributes)
     if "install_date" not in keys:
         return df.drop("rampid")
     if "rampid" in keys:

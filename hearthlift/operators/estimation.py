@@ -401,6 +401,7 @@ def estimate_lift(
 ) -> DataFrame:
     """Lift of the campaign among matched households, as one row.
 
+    Reads `matched` a few times (quantiles, labels, design): pass a written table.
     With outcome 'baseline_60d_revenue' this is the placebo run: nothing the campaign did can have
     changed it, and features made from it are left out.
     """

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # A key is hot if it holds both this share and this many of the rows.
 HOT_SHARE = 0.0005
 HOT_ROWS = 1_000_000
+# Hot keys number at most 1 / HOT_SHARE, so their copies stay within a few million rows.
+MAX_WAYS = 4_000
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> list:
@@ -31,17 +33,21 @@ def spread_join(
     how: str,
     hot: list,
     spread_by: Column,
-    ways: int = 64,
+    ways: int | None = None,
 ) -> DataFrame:
-    """Equi-join in which the hot keys of `many` go to `ways` tasks each.
+    """Equi-join in which the hot keys of `many` are split into `ways` parts each.
 
-    Only rows of `one` that carry a hot key are copied. `spread_by` decides the task of a hot
-    row and must be a function of the row, so that a repeated task routes its rows as before.
+    By default there are four parts per shuffle partition, so that a single key can keep the whole
+    cluster busy. Only rows of `one` that carry a hot key are copied, once per part. `spread_by`
+    decides the part of a hot row and must be a function of the row, so that a repeated task
+    routes its rows as before.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"spread_join supports inner, left and left_semi, not {how}")
     if not hot:
         return many.join(one, many[many_key] == one[one_key], how)
+    if ways is None:
+        ways = min(4 * int(many.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_WAYS)
     way = F.when(F.col(many_key).isin(hot), F.pmod(F.xxhash64(spread_by), F.lit(ways))).otherwise(F.lit(0))
     copies = F.when(F.col(one_key).isin(hot), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
     left = many.withColumn("_way", way.cast("int"))
