@@ -3,6 +3,7 @@
 import math
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -215,3 +216,22 @@ def test_rebalancing_takes_two_controls_per_treated(spark):
 def test_comparison_names_the_designs(spark):
     row = spark.createDataFrame([tuple([0.0] * 4 + [1] + [0.0] * 19)], S.LIFT_SUMMARY)
     assert [r.design for r in D.compare_estimates({"a": row, "b": row}).collect()] == ["a", "b"]
+
+
+def test_segment_effects_equal_plain_least_squares(spark):
+    flags = [f"CAST({uniform(60 + i)} > 0.5 AS DOUBLE) AS seg_{s}" for i, s in enumerate(E.SEGMENTS)]
+    df = spark.range(2000).selectExpr("id", f"{uniform(70)} - 0.5 AS t_res", *flags)
+    df = df.selectExpr("*", f"t_res * (2 + 3 * seg_young - seg_lapsed) + {uniform(71)} AS y_res")
+    fit = E.segment_effects(df)
+
+    pdf = df.toPandas()
+    t = pdf["t_res"].to_numpy()
+    x = np.column_stack([t, *[t * pdf[f"seg_{s}"] for s in E.SEGMENTS], np.ones(len(t))])
+    y = pdf["y_res"].to_numpy()
+    inverse = np.linalg.inv(x.T @ x)
+    beta = inverse @ x.T @ y
+    errors = np.sqrt(np.diag(inverse) * ((y - x @ beta) ** 2).sum() / (len(y) - x.shape[1]))
+    assert fit.coefficients == pytest.approx(list(beta[:-1]))
+    assert fit.standard_errors == pytest.approx(list(errors[:-1]))
+    by_name = dict(zip(("base", *E.SEGMENTS), fit.p_values))
+    assert by_name["young"] < 0.001 and by_name["lapsed"] < 0.001 and by_name["senior"] > 0.001

@@ -218,6 +218,41 @@ def test_purchase_measures(spark):
     assert (r.baseline_12m_revenue_sum, r.baseline_12m_negative_transaction_count, r.baseline_12m_quantity_sum) == (0.0, 1, -1.0)
 
 
+def test_very_large_household_equals_plain_distinct_counts(spark):
+    """Half of the rows in one household, a third without order id, banners and divisions partly null."""
+    bought = spark.range(20_000).selectExpr(
+        "IF(id % 2 = 0, 'huge', CAST(id % 97 AS STRING)) AS addressLink",
+        "IF(id % 3 = 0, NULL, CAST(id % 1789 AS STRING)) AS order_id",
+        "date_add(DATE '2024-11-01', CAST(hash(id, 1) % 220 + 220 AS INT)) AS transaction_date",
+        "CAST(hash(id, 2) % 100 AS DOUBLE) AS transaction_amount",
+        "CAST(hash(id, 3) % 5 AS DOUBLE) AS quantity",
+        "CAST(hash(id, 4) % 3 = 0 AS INT) AS is_campaign_product",
+        "IF(id % 7 = 0, NULL, CAST(hash(id, 5) % 6 AS STRING)) AS banner",
+        "IF(id % 11 = 0, NULL, CAST(hash(id, 6) % 9 AS STRING)) AS division",
+    )
+    base = "transaction_date BETWEEN DATE '2024-11-12' AND DATE '2025-11-11'"
+    late = "transaction_date BETWEEN DATE '2025-09-13' AND DATE '2025-11-11'"
+    during = "transaction_date BETWEEN DATE '2025-11-12' AND DATE '2026-01-06'"
+    plain = bought.groupBy(S.HOUSEHOLD).agg(
+        *[F.expr(e) for e in (
+            f"count(DISTINCT IF({base}, order_id, NULL)) AS baseline_12m_orders",
+            f"count(DISTINCT IF({late}, order_id, NULL)) AS baseline_60d_orders",
+            f"count(DISTINCT IF({base} AND is_campaign_product = 1, order_id, NULL)) AS baseline_campaign_product_orders",
+            f"count(DISTINCT IF({during}, order_id, NULL)) AS outcome_total_campaign_orders",
+            f"count(DISTINCT IF({base}, banner, NULL)) AS baseline_12m_distinct_banners",
+            f"count(DISTINCT IF({base}, division, NULL)) AS baseline_12m_distinct_divisions",
+            f"count(DISTINCT IF({base}, transaction_date, NULL)) AS baseline_12m_active_purchase_days",
+            f"count(DISTINCT IF({base}, date_trunc('week', transaction_date), NULL)) AS num_weeks_purchased_in_last_365_days",
+            f"sum(IF({base} AND transaction_amount > 0, transaction_amount, 0)) AS baseline_12m_revenue_sum",
+            f"sum(IF({base}, quantity, 0)) AS baseline_12m_quantity_sum",
+            f"count_if({base} AND transaction_amount < 0) AS baseline_12m_negative_transaction_count",
+        )]
+    )
+    got = household_purchases(bought, CAMPAIGN).select(plain.columns)
+    assert plain.where("addressLink = 'huge' AND baseline_12m_orders > 500").count() == 1
+    assert rows(got) == rows(plain)
+
+
 def test_purchase_day_from_epoch_and_missing_columns(spark):
     bought = household_rows(spark, ("h", "o", BEFORE, 1.0, 1.0, 1, "b")).drop("transaction_date")
     with pytest.raises(ValueError):
