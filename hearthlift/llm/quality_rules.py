@@ -130,16 +130,17 @@ def counts(texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def base_failed() -> str:
-    return f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {BASE_REPEATED} * n_words"
+def base_failed(p: str = "") -> str:
+    """The base rules as SQL over COUNTS, whose names follow `p`."""
+    return f"{p}n_words < {MIN_WORDS} OR 100 * {p}n_repeat_words > {BASE_REPEATED} * {p}n_words"
 
 
-def too_repetitive() -> str:
+def too_repetitive(p: str = "") -> str:
     """The method's verdict as SQL over COUNTS."""
-    rules = [f"100 * n_dup_lines > {DUP_LINES} * n_lines", f"100 * dup_line_chars > {DUP_LINE_CHARS} * word_chars"]
-    rules += [f"100 * top_{n}gram_chars > {limit} * word_chars" for n, limit in TOP_LIMITS.items()]
-    rules += [f"100 * dup_{n}gram_chars > {limit} * word_chars" for n, limit in DUP_LIMITS.items()]
-    return " OR ".join(rules)
+    rules = [(f"{p}n_dup_lines", DUP_LINES, f"{p}n_lines"), (f"{p}dup_line_chars", DUP_LINE_CHARS, f"{p}word_chars")]
+    rules += [(f"{p}top_{n}gram_chars", limit, f"{p}word_chars") for n, limit in TOP_LIMITS.items()]
+    rules += [(f"{p}dup_{n}gram_chars", limit, f"{p}word_chars") for n, limit in DUP_LIMITS.items()]
+    return " OR ".join(f"100 * {part} > {limit} * {whole}" for part, limit, whole in rules)
 
 
 def repetition(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -170,6 +171,28 @@ def repetition(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     )
 
 
+def passing(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """The rows of `docs` that `repetition` keeps, with all their columns."""
+    position = docs.columns.index(text_column)
+    own = "_repetition"
+    while own in docs.columns:
+        own += "_"
+
+    def run(batches):
+        for batch in batches:
+            texts = byte_strings(batch.column(position))
+            for a, b in text_slices(texts):
+                found = pa.StructArray.from_arrays([pa.array(c) for c in counts(texts[a:b]).T], COUNTS)
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, found], [*batch.schema.names, own])
+
+    fields = ", ".join(f"{c}: long" for c in COUNTS)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    rows = map_arrow(docs, run, f"{columns}, {own} struct<{fields}>")
+    failed = f"({base_failed(own + '.')}) OR {too_repetitive(own + '.')}"
+    return rows.where(f"NOT ({failed})").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op1_repetition_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return repetition(read(spark, folder))
 

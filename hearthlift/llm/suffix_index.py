@@ -362,6 +362,23 @@ def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
+def _span_lists(keyed: DataFrame, batches: int) -> DataFrame:
+    """_doc_id, _text_hash, and the ends of all spans of that text as _s and _e."""
+    spans = stage(repeated_spans(keyed, batches), "suffix-spans")
+    lists = spans.groupBy(*[F.col(c).alias(f"_{c}") for c in KEY]).agg(
+        F.collect_list("s").alias("_s"), F.collect_list("e").alias("_e")
+    )
+    return _sized(stage(lists, "suffix-removed"))
+
+
+def _cut(text: bytes, starts: list[int] | None, ends: list[int] | None, characters: bool) -> tuple[int, bytes]:
+    """Number of removed runs, and the bytes that stay."""
+    gone = covered(np.array(starts), np.array(ends)) if starts else []
+    gone = whole_characters(text, gone) if characters else gone
+    edges = [0, *[x for span in gone for x in span], len(text)]
+    return len(gone), b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
 def without_passages(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -381,13 +398,8 @@ def without_passages(
     Spark jobs at once and reads `docs` several times, so it should be a written table.
     """
     keyed = keyed_documents(docs, id_column, text_column)
-    spans = stage(repeated_spans(keyed, batches), "suffix-spans")
-    lists = spans.groupBy(*[F.col(c).alias(f"_{c}") for c in KEY]).agg(
-        F.collect_list("s").alias("s"), F.collect_list("e").alias("e")
-    )
-    lists = stage(lists, "suffix-removed")
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
-    joined = keyed.join(_sized(lists), same, "left").select("doc_id", "text_hash", "text", "s", "e")
+    joined = keyed.join(_span_lists(keyed, batches), same, "left").select("doc_id", "text_hash", "text", "_s", "_e")
     names = ["doc_id", "text_hash", "n_bytes", "n_removed", "n_spans", "kept"]
 
     def run(batches_):
@@ -395,11 +407,8 @@ def without_passages(
             texts = byte_strings(batch.column(2))
             rows = []
             for text, s, e in zip(texts, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                gone = covered(np.array(s), np.array(e)) if s else []
-                gone = whole_characters(text, gone) if characters else gone
-                edges = [0, *[x for span in gone for x in span], len(text)]
-                kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                rows.append((len(text), len(text) - len(kept), len(gone), kept))
+                gone, kept = _cut(text, s, e, characters)
+                rows.append((len(text), len(text) - len(kept), gone, kept))
             columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
             arrays = [pa.array(c, pa.int64()) for c in columns[:3]] + [pa.array(columns[3], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names)
@@ -409,6 +418,33 @@ def without_passages(
     return map_arrow(joined, run, schema)
 
 
+def cut_documents(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int = BATCHES
+) -> DataFrame:
+    """`docs` with all rows and columns, its texts without repeated passages, cut at whole characters.
+
+    Otherwise as `without_passages`; a missing text stays missing."""
+    position = docs.columns.index(text_column)
+    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce(text_column, F.lit(""))))
+    same = F.col(id_column).eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash"))
+    lists = _span_lists(keyed_documents(docs, id_column, text_column), batches)
+    joined = hashed.join(lists, same, "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_s", "_e")
+
+    def run(batches_):
+        for batch in batches_:
+            texts = batch.column(position).to_pylist()
+            ends = zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True)
+            for x, (s, e) in enumerate(ends):
+                if s:
+                    texts[x] = _cut(texts[x].encode(), s, e, True)[1].decode()
+            columns = [*batch.columns[:-2]]
+            columns[position] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, docs_names)
+
+    docs_names = docs.columns
+    return map_arrow(joined, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+
+
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = without_passages(read(spark, folder))
     return done.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept", "text_hash")
