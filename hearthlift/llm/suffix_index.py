@@ -32,8 +32,9 @@ BATCHES = 3
 # Bytes of a text looked at in one piece; longer texts are cut into pieces that overlap.
 PIECE = 1 << 20
 POSITION_BITS = 22
-# Rows of 16 to 40 bytes up to which a table is broadcast after counting it; beyond, both sides are shuffled.
-BROADCAST_ROWS = 1_000_000
+# Numbers in a table (8 bytes each) up to which it is broadcast, after counting them; beyond, both sides are
+# shuffled.
+BROADCAST_NUMBERS = 4_000_000
 # Classes of one anchor up to which their bytes are compared in one task; beyond, the hashes of their window
 # starts are counted by a shuffle that collapses equal ones first. Both ways find the same.
 TASK_CLASSES = 20_000
@@ -197,9 +198,10 @@ class SuffixIndexFamily:
         return frame.distinct()
 
 
-def _sized(table: DataFrame) -> DataFrame:
-    """The written table, to be broadcast if counting shows that it is small."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+def _sized(table: DataFrame, numbers: str) -> DataFrame:
+    """The written table, to be broadcast if counting shows that it is small. `numbers`: in a row, as SQL."""
+    held = table.agg(F.expr(f"sum(cast({numbers} as long))")).first()[0] or 0
+    return F.broadcast(table) if held <= BROADCAST_NUMBERS else table
 
 
 def contexts(keyed: DataFrame, edges: DataFrame) -> DataFrame:
@@ -208,7 +210,7 @@ def contexts(keyed: DataFrame, edges: DataFrame) -> DataFrame:
         F.collect_list(F.struct("kh", "n", "a", "lo", "hi")).alias("edges")
     )
     joined = keyed.join(
-        _sized(stage(lists, "suffix-edges")),
+        _sized(stage(lists, "suffix-edges"), "2 + 5 * size(edges)"),
         F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")),
     ).select("doc_id", "text_hash", "edges", "text")
     names = ["doc_id", "text_hash", "kh", "n", "a", "lo", "hi", "bytes"]
@@ -318,9 +320,9 @@ def repeated_spans(keyed: DataFrame, batches: int = BATCHES) -> DataFrame:
     family = SuffixIndexFamily()
     for number in range(batches):
         family.add(entries.where(F.col("batch") == number).drop("batch"))
-    hits = _sized(stage(family.hit_anchors(), "suffix-hits"))
+    hits = _sized(stage(family.hit_anchors(), "suffix-hits"), "1")
     classes = family.classes()
-    whole = _sized(stage(classes.where("n > 1").select("kh", "ck"), "suffix-whole"))
+    whole = _sized(stage(classes.where("n > 1").select("kh", "ck"), "suffix-whole"), "2")
     inside = entries.join(whole, ["kh", "ck"], "left_semi").select(
         *KEY, F.col("lo").alias("s"), (F.col("hi") + MATCH).alias("e")
     )
@@ -332,8 +334,8 @@ def repeated_spans(keyed: DataFrame, batches: int = BATCHES) -> DataFrame:
     if large.count() == 0:
         return inside.union(_repeated_in_task(found, schema))
     found = stage(found, "suffix-contexts")
-    few = found.join(_sized(large), "kh", "left_anti").select(found.columns)
-    many = found.join(_sized(large), "kh", "left_semi").select(found.columns)
+    few = found.join(_sized(large, "2"), "kh", "left_anti").select(found.columns)
+    many = found.join(_sized(large, "2"), "kh", "left_semi").select(found.columns)
     return inside.union(_repeated_in_task(few, schema)).union(_repeated_by_shuffle(many, schema))
 
 
@@ -368,7 +370,7 @@ def _span_lists(keyed: DataFrame, batches: int) -> DataFrame:
     lists = spans.groupBy(*[F.col(c).alias(f"_{c}") for c in KEY]).agg(
         F.collect_list("s").alias("_s"), F.collect_list("e").alias("_e")
     )
-    return _sized(stage(lists, "suffix-removed"))
+    return _sized(stage(lists, "suffix-removed"), "2 + size(_s)")
 
 
 def _cut(text: bytes, starts: list[int] | None, ends: list[int] | None, characters: bool) -> tuple[int, bytes]:
