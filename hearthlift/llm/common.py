@@ -41,7 +41,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def text_slices(texts: Iterable[str | bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def text_slices(texts: Iterable[str | bytes], limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts with about `limit` characters in all; a longer text has a range of its own."""
     start = size = stop = 0
     for stop, text in enumerate(texts):

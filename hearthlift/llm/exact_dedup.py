@@ -161,7 +161,7 @@ def verified_groups(docs: DataFrame, repeated: DataFrame, id_column: str, text_c
     def run(batches):
         for batch in batches:
             texts = byte_strings(batch.column(1))
-            for a, b in text_slices(texts, 1 << 22):
+            for a, b in text_slices(texts, 1 << 20):
                 low = [normalised(t) for t in texts[a:b]]
                 columns = [
                     batch.column(0).slice(a, b - a),

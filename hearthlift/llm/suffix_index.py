@@ -30,7 +30,7 @@ from hearthlift.llm.common import byte_strings, map_arrow, mixed, powers, read,
 MATCH, GRAM = 400, 32
 BATCHES = 3
 # Bytes of a text looked at in one piece; longer texts are cut into pieces that overlap.
-PIECE = 1 << 20
+PIECE = 1 << 18
 POSITION_BITS = 22
 # Numbers in a table (8 bytes each) up to which it is broadcast, after counting them; beyond, both sides are
 # shuffled.
