@@ -26,9 +26,18 @@ def workers_can_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *known])
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """mapInArrow, with this package importable on the workers."""
-    workers_can_import(df.sparkSession)
+    """mapInArrow, with this package importable on the workers.
+
+    Where the session does not say how large Arrow batches may be, they are held at 8 MB, since a batch is in
+    memory several times over."""
+    spark = df.sparkSession
+    workers_can_import(spark)
+    if BATCH_BYTES not in spark.conf.getAll:
+        spark.conf.set(BATCH_BYTES, "8m")
     return df.mapInArrow(function, schema)
 
 

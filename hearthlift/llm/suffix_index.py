@@ -37,9 +37,9 @@ POSITION_BITS = 22
 BROADCAST_NUMBERS = 4_000_000
 # Classes of one anchor up to which their bytes are compared in one task; beyond, the hashes of their window
 # starts are counted by a shuffle that collapses equal ones first. Both ways find the same.
-TASK_CLASSES = 20_000
-# Entries compared at once in a task.
-CHUNK = 8_192
+TASK_CLASSES = 8_000
+# Entries gathered in a task before they are compared, and entries hashed at once.
+GATHERED, CHUNK = 1_024, 256
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 ENTRY = "a int, lo int, hi int, kh long, ck long"
@@ -235,6 +235,10 @@ def contexts(keyed: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _window_hashes(cut: list[bytes], kh: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every window start of every context: its row, its number within the row, its hash."""
+    if len(cut) > CHUNK:
+        parts = [_window_hashes(cut[x : x + CHUNK], kh[x : x + CHUNK]) for x in range(0, len(cut), CHUNK)]
+        rows = [own + k * CHUNK for k, (own, _, _) in enumerate(parts)]
+        return np.concatenate(rows), *(np.concatenate([p[i] for p in parts]) for i in (1, 2))
     sizes = np.array([len(c) for c in cut])
     begin = np.cumsum(sizes) - sizes
     hashes = _Hashes(np.frombuffer(b"".join(cut), np.uint8), _BASES[1])
@@ -275,7 +279,7 @@ def _repeated_in_task(found: DataFrame, schema: str) -> DataFrame:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= CHUNK:
+            if sum(b.num_rows for b in held) >= GATHERED:
                 table = pa.Table.from_batches(held)
                 kh = table.column("kh").to_numpy()
                 # The last anchor may go on in the next batch.
