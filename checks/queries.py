@@ -442,8 +442,9 @@ def caliper_match(spark, folder):
 
 @query(O.chain(("eligible",), """
   SELECT addressLink, treatment FROM eligible
-  WHERE treatment = 1 OR CAST('0x' || substr(md5(addressLink || ':42'), 1, 8) AS BIGINT) % 1000000 <
-    (SELECT CAST(ROUND(2.0 * COUNT(*) FILTER (treatment = 1) / COUNT(*) FILTER (treatment = 0) * 1000000) AS BIGINT)
+  WHERE treatment = 1 OR CAST('0x' || substr(md5(addressLink || ':42'), 1, 15) AS BIGINT) <
+    (SELECT CAST(FLOOR(CAST(2 * COUNT(*) FILTER (treatment = 1) AS DOUBLE) / COUNT(*) FILTER (treatment = 0)
+                       * 1152921504606846976) AS BIGINT)
      FROM eligible)"""))
 def rebalanced_sample(spark, folder):
     """All treated households and a hash sample of twice as many controls."""

@@ -33,5 +33,11 @@ def hash_bucket(key: Column, buckets: int, seed: int, method: str = "xxhash64")
 
 
 def sampled(key: Column, fraction: float, seed: int, method: str = "xxhash64") -> Column:
-    """Keep a key with probability `fraction`, to within one millionth."""
-    return hash_bucket(key, 1_000_000, seed, method) < F.lit(round(fraction * 1_000_000))
+    """Keep a key with probability `fraction`, to the full width of the hash (60 bits)."""
+    text = key.cast("string")
+    if method == "md5":
+        digest = F.md5(F.concat(text, F.lit(f":{seed}")))
+        number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    else:
+        number = F.shiftrightunsigned(F.xxhash64(text, F.lit(seed)), 4)
+    return number < F.lit(int(fraction * 2**60))

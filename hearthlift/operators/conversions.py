@@ -79,7 +79,7 @@ def dedupe_by_household(conversions: DataFrame) -> DataFrame:
     Two identities of a household may carry the same purchase. Remaining ties are decided by
     the identity columns, so the choice does not depend on partitioning.
     """
-    keys = [HOUSEHOLD, "order_id", "transaction_timestamp_unix", F.col("product_id").try_cast("bigint")]
+    keys = [HOUSEHOLD, "order_id", "transaction_timestamp_unix", "product_id"]
     identity = [F.col(c).asc_nulls_last() for c in ("hhpel", "Grouping_Indicator", "online_identity_id")]
     return first_per_key(conversions, keys, [*_best_first(), *identity])
 

@@ -75,8 +75,28 @@ TREE_CATEGORICAL = ("gender", "state_label", "poc_label", "campaign_product_affi
 # treatment away. Only for comparison with results that were made with them.
 EXPOSURE_FEATURES = ("exposure_frequency_deduped", "person_record_count")
 
-# What is computed from an outcome column that is also a baseline column.
-OUTCOME_PARTS = {PLACEBO_OUTCOME: ("baseline_60d_revenue", "recent_60d_revenue_share")}
+# Features made from the days of an outcome that is itself a baseline column. Spend, orders and order value
+# are not among them: with_model_columns takes those days out of them.
+OUTCOME_PARTS = {
+    PLACEBO_OUTCOME: (
+        "baseline_60d_revenue",
+        "days_since_last_baseline_purchase",
+        "baseline_12m_avg_items_per_order",
+        "baseline_12m_quantity_sum",
+        "baseline_60d_orders",
+        "baseline_campaign_product_revenue",
+        "campaign_product_revenue_share",
+        "recent_60d_revenue_share",
+        "recent_60d_order_share",
+        "has_baseline_purchase",
+        "prior_campaign_product_buyer",
+        "recent_60d_buyer",
+        "lapsed_60d_buyer",
+        "revenue_bin_ordinal",
+        "buyer_label_ordinal",
+        "campaign_product_affinity_label",
+    )
+}
 
 
 @dataclass(frozen=True)
@@ -91,6 +111,10 @@ class Learner:
     tree_step: float = 0.1
     tree_rows: float = 0.8
 
+    def __post_init__(self):
+        if self.kind not in ("linear", "trees"):
+            raise ValueError(f"unknown kind of learner: {self.kind}")
+
     def numeric(self, outcome: str) -> list[str]:
         names = LINEAR_NUMERIC if self.kind == "linear" else TREE_NUMERIC
         if self.kind != "linear" and self.exposure_features:
@@ -101,6 +125,10 @@ class Learner:
     def categorical(self) -> tuple[str, ...]:
         return LINEAR_CATEGORICAL if self.kind == "linear" else TREE_CATEGORICAL
 
+    def labelled(self, outcome: str) -> list[str]:
+        """The categorical features for an outcome."""
+        return [name for name in self.categorical if name not in OUTCOME_PARTS.get(outcome, ())]
+
     @property
     def invalid(self) -> str:
         """Linear models leave out rows with a null feature; for trees nulls are filled before."""
@@ -112,20 +140,22 @@ class Learner:
             names.append("baseline_campaign_product_revenue")
         return [name for name in names if name not in OUTCOME_PARTS.get(outcome, ())]
 
-    def outcome_model(self, seed: int):
+    def outcome_model(self, seed: int, labels: int = 0):
+        """`labels`: the largest number of labels of any categorical feature."""
         label = {"labelCol": "post_campaign_total_order_value", "predictionCol": "y_hat"}
         if self.kind == "linear":
             return LinearRegression(**label, loss="huber", epsilon=1.35, maxIter=10, tol=1e-3)
-        return GBTRegressor(**label, lossType="absolute", **self._boosting(seed))
+        return GBTRegressor(**label, lossType="absolute", **self._boosting(seed, labels))
 
-    def treatment_model(self, seed: int):
+    def treatment_model(self, seed: int, labels: int = 0):
         label = {"labelCol": "treatment", "predictionCol": "t_predicted"}
         if self.kind == "linear":
             return LogisticRegression(**label, regParam=0.1, maxIter=10, tol=1e-3)
-        return GBTClassifier(**label, **self._boosting(seed))
+        return GBTClassifier(**label, **self._boosting(seed, labels))
 
-    def _boosting(self, seed: int) -> dict:
+    def _boosting(self, seed: int, labels: int) -> dict:
         return {
+            "maxBins": max(32, labels),  # a split looks at every label
             "maxIter": self.tree_iterations,
             "maxDepth": self.tree_depth,
             "stepSize": self.tree_step,
@@ -152,13 +182,27 @@ def outcome_column(df: DataFrame, wanted: str = TOTAL_OUTCOME) -> str:
     raise ValueError(f"outcome column {wanted} is absent")
 
 
-def with_model_columns(df: DataFrame, outcome: str) -> DataFrame:
-    """Outcome, earlier spend, household attributes and ordinal encodings for the models."""
-    df = with_baseline_flag(df)
+def with_model_columns(df: DataFrame, outcome: str, never_days: int = 366) -> DataFrame:
+    """Outcome, earlier spend, household attributes and ordinal encodings for the models.
+
+    For the placebo, whose outcome is spend in the last 60 days, earlier spend, orders and order value
+    end where those days begin. `never_days` is the recency of households that never bought.
+    """
+    df = with_baseline_flag(df, never_days)
+    spend = F.col("baseline_12m_revenue_sum").cast("double")
+    before = {}
+    if outcome == PLACEBO_OUTCOME:
+        spend = spend - F.coalesce(F.col(outcome).cast("double"), F.lit(0.0))
+        orders = F.col("baseline_12m_orders") - F.coalesce(F.col("baseline_60d_orders"), F.lit(0))
+        before = {
+            "baseline_12m_orders": orders,
+            "baseline_12m_avg_order_value": F.coalesce(spend / F.nullif(orders.cast("double"), F.lit(0.0)), F.lit(0.0)),
+        }
     return df.withColumns(
         {
+            **before,
             "post_campaign_total_order_value": F.col(outcome).cast("double"),
-            "pre_campaign_total_order_value": F.col("baseline_12m_revenue_sum").cast("double"),
+            "pre_campaign_total_order_value": spend,
             "baseline_60d_revenue": F.col("baseline_60d_revenue").cast("double"),
             "gender": majority_gender(),
             "est_age": estimated_age(),
@@ -191,11 +235,16 @@ def upper_limits(df: DataFrame, columns: Sequence[str], share: float = 0.99) ->
             *[F.percentile_approx(c, shares, SKETCH_ACCURACY).alias(c) for c in columns],
             F.count("*").alias("_rows"),
         ).first()
-        if strips["_rows"] * margin < 1 or margin > 1:
+        if strips["_rows"] * margin < 1:
             return {c: strips[c][1] if strips[c] else None for c in columns}
-        limits = _ranked_in_strip(numbers, {c: strips[c] for c in columns if strips[c]}, share)
+        known = {c: strips[c] for c in columns if strips[c]}
+        if margin > 1:
+            known = {c: [-math.inf, strip[1], math.inf] for c, strip in known.items()}
+        limits = _ranked_in_strip(numbers, known, share)
         if limits is not None:
             return {c: limits.get(c) for c in columns}
+        if margin > 1:
+            raise ArithmeticError(f"no quantile of {', '.join(known)} was found")
         margin *= 10
 
 
@@ -239,14 +288,14 @@ def segment_flags() -> dict[str, Column]:
 def design_matrix(matched: DataFrame, learner: Learner, config: CampaignConfig, outcome: str) -> DataFrame:
     """Written table of outcome, treatment, features, segments and fold, partitioned by fold."""
     df = conform(matched, S.ALL_FEATURES, [S.HOUSEHOLD, "treatment"], "matched households")
-    df = with_model_columns(df, outcome)
-    numeric = learner.numeric(outcome)
+    df = with_model_columns(df, outcome, config.never_purchased_days)
+    numeric, categorical = learner.numeric(outcome), learner.labelled(outcome)
     if learner.kind != "linear":
-        never = {"days_since_last_baseline_purchase": config.never_purchased_days}
-        texts = {name: "missing" for name in learner.categorical}
+        never = {"days_since_last_baseline_purchase": config.never_purchased_days}  # also a segment's column
+        texts = {name: "missing" for name in categorical}
         df = df.fillna({**{name: 0 for name in numeric}, **never, **texts})
     df = winsorised(df, upper_limits(df, learner.capped_columns(outcome)))
-    df = assemble(df, numeric, learner.categorical, learner.invalid)
+    df = assemble(df, numeric, categorical, learner.invalid)
     fold = hash_bucket(F.col(S.HOUSEHOLD), config.folds, config.seed, config.order_hash)
     design = df.select(
         S.HOUSEHOLD,
@@ -259,6 +308,12 @@ def design_matrix(matched: DataFrame, learner: Learner, config: CampaignConfig,
     return stage(design, "design", ["fold"])
 
 
+def largest_label_count(design: DataFrame) -> int:
+    """Labels of the categorical feature that has most, from what the indexer left in the schema."""
+    attributes = design.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    return max((len(a.get("vals", ())) for a in attributes.get("nominal", ())), default=0)
+
+
 def cross_fit(design: DataFrame, learner: Learner, config: CampaignConfig) -> DataFrame:
     """Written table of out-of-fold predictions `y_hat` and `t_score`.
 
@@ -271,11 +326,13 @@ def cross_fit(design: DataFrame, learner: Learner, config: CampaignConfig) -> Da
 
     def fit(task):
         model, fold = task
-        training = design.where(F.col("fold") != fold).drop(S.HOUSEHOLD)
-        return model.fit(training.coalesce(tasks_wanted))
+        # Boosting draws rows by partition and position, so both follow from the households alone.
+        training = design.where(F.col("fold") != fold)
+        training = training.repartition(tasks_wanted, S.HOUSEHOLD).sortWithinPartitions(S.HOUSEHOLD)
+        return model.fit(training.drop(S.HOUSEHOLD))
 
     tasks = [
-        (make(config.seed), fold)
+        (make(config.seed, largest_label_count(design)), fold)
         for fold in range(config.folds)
         for make in (learner.outcome_model, learner.treatment_model)
     ]
@@ -353,7 +410,7 @@ def fit_statistics(df: DataFrame) -> DataFrame:
 
 
 def treatment_auc(df: DataFrame, score: str = "t_score") -> float:
-    return BinaryClassificationEvaluator(labelCol="treatment", rawPredictionCol=score).evaluate(df)
+    return BinaryClassificationEvaluator(labelCol="treatment", rawPredictionCol=score, numBins=0).evaluate(df)
 
 
 def lift_columns(effect: Column, error: Column, treated_mean: Column) -> dict[str, Column]:

@@ -152,7 +152,9 @@ def propensity_match(scored: DataFrame, config: CampaignConfig) -> DataFrame:
 
 def propensity_auc(scored: DataFrame) -> float:
     """Area under the ROC curve of the unclipped score on all eligible households."""
-    evaluator = BinaryClassificationEvaluator(labelCol="treatment", rawPredictionCol="propensity_score_raw")
+    evaluator = BinaryClassificationEvaluator(
+        labelCol="treatment", rawPredictionCol="propensity_score_raw", numBins=0
+    )
     return evaluator.evaluate(scored)
 
 

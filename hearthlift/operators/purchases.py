@@ -28,7 +28,7 @@ def prepared_conversions(conversions: DataFrame) -> DataFrame:
         "order_id",
         *optional,
         day.alias("day"),
-        F.col("transaction_amount").cast("double").alias("amount"),
+        F.col("transaction_amount").cast("decimal(18,4)").alias("amount"),
         F.col("quantity").cast("double").alias("quantity"),
         F.coalesce(whole(F.col("is_campaign_product")), F.lit(0)).alias("product"),
     )
@@ -86,12 +86,13 @@ def household_purchases(conversions: DataFrame, config: CampaignConfig) -> DataF
     words = {f"days_{i}": w for i, w in enumerate(day_words)} | {f"weeks_{i}": w for i, w in enumerate(week_words)}
 
     # Returns have negative amounts: they count in quantities but not in revenue.
+    # Revenue is summed in decimals, so that the order of rows cannot move a sum across a tier's edge.
     sums = {revenue: f"{windows[name]} AND amount > 0, amount" for name, (_, revenue, _) in _MEASURES.items()}
     sums |= {quantity: f"{windows[name]}, quantity" for name, (_, _, quantity) in _MEASURES.items() if quantity}
     groups = df.groupingSets([[S.HOUSEHOLD, kind] for kind in kinds], S.HOUSEHOLD, *kinds).agg(
         *[F.expr(f"grouping({kind}) AS not_{kind}") for kind in kinds],
         *[F.expr(f"max(IF({condition}, 1, 0)) AS in_{name}") for name, condition in windows.items()],
-        *[F.expr(f"sum(IF({value}, 0.0D)) AS {name}") for name, value in sums.items()],
+        *[F.expr(f"sum(IF({value}, 0)) AS {name}") for name, value in sums.items()],
         F.expr(f"count_if({baseline} AND amount < 0) AS returns"),
         F.expr(f"min(IF({baseline}, day, NULL)) AS first_day"),
         F.expr(f"max(IF({baseline}, day, NULL)) AS last_day"),
@@ -107,7 +108,7 @@ def household_purchases(conversions: DataFrame, config: CampaignConfig) -> DataF
         groups.groupBy(S.HOUSEHOLD)
         .agg(
             *[distinct("order_id", f"in_{name} = 1", orders) for name, (orders, _, _) in _MEASURES.items()],
-            *[F.expr(f"sum(IF(not_order_id = 0, {name}, 0.0D)) AS {name}") for name in sums],
+            *[F.expr(f"CAST(sum(IF(not_order_id = 0, {name}, 0)) AS DOUBLE) AS {name}") for name in sums],
             F.expr("sum(IF(not_order_id = 0, returns, 0L)) AS baseline_12m_negative_transaction_count"),
             distinct("banner", "in_baseline_12m = 1", "baseline_12m_distinct_banners"),
             distinct("division", "in_baseline_12m = 1", "baseline_12m_distinct_divisions"),

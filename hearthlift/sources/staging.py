@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -13,14 +14,15 @@ _local_root: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir.
+    """This run's sub-folder of the shared folder that the cluster names in spark.checkpoint.dir.
 
-    Only a local[*] session, where driver and executors are one machine, may do without it.
+    It carries the id of the Spark application, so whoever clears the folder can tell runs apart.
+    Only a local or local[*] session, one process on one machine, may do without the setting.
     """
     configured = spark.conf.get(_SETTING, None)
     if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+        return f"{configured.rstrip('/')}/{spark.sparkContext.applicationId}"
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"{_SETTING} must name a folder that all executors share")
     if not _local_root:
         _local_root.append(tempfile.mkdtemp(prefix="hearthlift-"))
@@ -32,4 +34,4 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

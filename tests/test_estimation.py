@@ -235,3 +235,40 @@ def test_segment_effects_equal_plain_least_squares(spark):
     assert fit.standard_errors == pytest.approx(list(errors[:-1]))
     by_name = dict(zip(("base", *E.SEGMENTS), fit.p_values))
     assert by_name["young"] < 0.001 and by_name["lapsed"] < 0.001 and by_name["senior"] > 0.001
+
+
+def test_trees_take_many_labels_and_ignore_the_layout(few):
+    states = few.withColumn("state_label", F.concat(F.lit("s"), F.pmod(F.xxhash64("addressLink"), F.lit(60))))
+    lifts = [
+        E.estimate_lift(layout, CONFIG, QUICK_TREES).first().incremental_lift
+        for layout in (states.coalesce(1), states.repartition(7))
+    ]
+    assert lifts[0] == pytest.approx(lifts[1], abs=1e-9)
+
+
+def test_placebo_features_do_not_see_its_days(few):
+    before = E.with_model_columns(few, E.PLACEBO_OUTCOME)
+    more = few.withColumns(
+        {
+            "baseline_60d_revenue": F.col("baseline_60d_revenue") + 70,
+            "baseline_12m_revenue_sum": F.col("baseline_12m_revenue_sum") + 70,
+            "baseline_60d_orders": F.col("baseline_60d_orders") + 2,
+            "baseline_12m_orders": F.col("baseline_12m_orders") + 2,
+        }
+    )
+    after = E.with_model_columns(more, E.PLACEBO_OUTCOME)
+    for learner in (E.LINEAR, E.TREES):
+        names = learner.numeric(E.PLACEBO_OUTCOME)
+        sums = [F.round(F.sum(F.col(c).cast("double")), 4).alias(c) for c in names]
+        assert before.agg(*sums).first() == after.agg(*sums).first()
+
+
+def test_unknown_learner_is_refused():
+    with pytest.raises(ValueError):
+        E.Learner("forest")
+
+
+def test_recency_of_never_buyers_comes_from_the_configuration(few):
+    never = few.drop("has_baseline_purchase").withColumn("days_since_last_baseline_purchase", F.lit(181))
+    flagged = E.with_model_columns(never, E.TOTAL_OUTCOME, 181)
+    assert flagged.where("has_baseline_purchase = 1").count() == 0

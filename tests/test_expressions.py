@@ -97,3 +97,10 @@ def test_slices_sort_like_their_hashes(spark):
         ordered = keys.select(h.alias("h")).select("h", hashing.order_slice(F.col("h"), method).alias("s"))
         slices = [r.s for r in ordered.orderBy("h").collect()]
         assert slices == sorted(slices) and len(set(slices)) > 1000
+
+
+def test_very_small_samples_keep_their_share(spark):
+    keys = spark.range(3_000_000).select(F.col("id").alias("k"))
+    for method in ("xxhash64", "md5"):
+        kept = keys.where(hashing.sampled(F.col("k"), 4e-6, 42, method)).count()
+        assert 2 <= kept <= 30

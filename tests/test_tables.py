@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from hearthlift.sources import staging
 from hearthlift.sources.tables import TableAccess, load, register_parquet, run_sql, save
@@ -50,7 +51,8 @@ def test_staged_tables_lie_in_the_staging_folder(spark):
     staged = staging.stage(spark.range(5), "numbers")
     assert staged.count() == 5
     root = staging.staging_root(spark)
-    assert root == spark.conf.get("spark.checkpoint.dir", root)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared is None or root == f"{shared}/{spark.sparkContext.applicationId}"
     assert all(root in f for f in staged.inputFiles())
 
 
@@ -60,9 +62,13 @@ def test_staging_needs_a_shared_folder_on_a_cluster():
         def get(name, default):
             return default
 
-    class Session:
-        conf = Conf
-        sparkContext = type("Context", (), {"master": "yarn"})
+    for master in ("yarn", "local-cluster[3,2,1000]"):
+        context = type("Context", (), {"master": master})
+        session = type("Session", (), {"conf": Conf, "sparkContext": context})
+        with pytest.raises(RuntimeError):
+            staging.staging_root(session)
 
-    with pytest.raises(RuntimeError):
-        staging.staging_root(Session)
+
+def test_an_empty_table_can_be_staged_by_folders(spark):
+    staged = staging.stage(spark.range(0).withColumn("part", F.lit(1)), "none", ["part"])
+    assert staged.count() == 0 and staged.columns == ["id", "part"]
