@@ -50,7 +50,7 @@ def test_model_features_exclude_assignment_and_outcomes():
 
 def test_feature_counts():
     assert len(E.LINEAR.numeric(E.TOTAL_OUTCOME)) + len(E.LINEAR.categorical) == 11
-    assert len(E.LINEAR.numeric(E.PLACEBO_OUTCOME)) + len(E.LINEAR.categorical) == 10
+    assert len(E.LINEAR.numeric(E.PLACEBO_OUTCOME)) + len(E.LINEAR.labelled(E.PLACEBO_OUTCOME)) == 8
     with_exposure = E.Learner("trees", exposure_features=True)
     assert len(with_exposure.numeric(E.TOTAL_OUTCOME)) + len(with_exposure.categorical) == 68
 
