@@ -62,7 +62,7 @@ class Packer:
         self.needs[k] = length, 1, length if loss is None else int(loss[-1])
         self.used += 1
         while self.used and self._oversized(self.used - 1):
-            yield [self._take(self.used - 1, self.most)]
+            yield from self._settled([self._take(self.used - 1, self.most)])
 
     def finish(self) -> Iterator[list]:
         while self.used:
@@ -107,7 +107,10 @@ class Packer:
                 break
             room -= self.taken
             bin_.append(piece)
-        if room[0] == 0:
+        yield from self._settled(bin_)
+
+    def _settled(self, bin_: list[tuple]) -> Iterator[list]:
+        if sum(length for _, _, length in bin_) == self.limits.tokens:
             yield bin_
         else:
             yield from powers_of_two(bin_)

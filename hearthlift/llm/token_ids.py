@@ -10,8 +10,8 @@ import numpy as np
 
 from hearthlift.llm import pretokens
 
-# Entries at which a worker's table of pre-tokens is emptied, some 70 MB. It only saves time.
-KEPT_WORDS = 400_000
+# Entries at which a worker's table of pre-tokens is emptied, some 100 MB. It only saves time.
+KEPT_WORDS = 600_000
 
 
 class KeptIds:

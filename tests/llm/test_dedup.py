@@ -210,7 +210,7 @@ def test_levels_merge_geometrically(spark):
     for k in range(5):
         family.add(spark.createDataFrame([(k, k, 1, 0, 1, k % 3, k % 2)], schema))
         sizes.append([n for n, _ in family.levels])
-    assert sizes == [[1], [1, 1], [2, 1], [2, 1, 1], [2, 2, 1]]
+    assert sizes == [[1], [1, 1], [2, 1], [2, 1, 1], [4, 1]]
     assert sum(r.n for r in family.classes().collect()) == 5
     assert {r.kh for r in family.hit_anchors().collect()} == {0, 1}
 
