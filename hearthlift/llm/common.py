@@ -50,11 +50,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def text_slices(texts: Iterable[str | bytes], limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
-    """Ranges of neighbouring texts with about `limit` characters in all; a longer text has a range of its own."""
+def text_slices(texts: Iterable[str | bytes], limit: int = 1 << 18, rows: int = 1024) -> Iterator[tuple[int, int]]:
+    """Ranges of at most `rows` neighbouring texts with about `limit` characters in all; a longer text has a
+    range of its own. Together they hold every text."""
     start = size = stop = 0
     for stop, text in enumerate(texts):
-        if size and size + len(text) > limit:
+        if size and (size + len(text) > limit or stop - start >= rows):
             yield start, stop
             start, size = stop, 0
         size += len(text) + 1
