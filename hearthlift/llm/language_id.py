@@ -111,11 +111,20 @@ def has_letter(text: str | None) -> bool:
 
 
 def sample_of(labelled: DataFrame, label: str, rows: int) -> DataFrame:
-    """At most `rows` rows, the same number from each label, by a hash of the id: rows is the whole bound."""
-    labels = labelled.where(F.col(label).isNotNull())
-    n = max(1, labels.select(label).distinct().count())
+    """At most `rows` rows, the same number from each label, by a hash of the id: rows is the whole bound.
+
+    Of more labels than that the largest are taken. A label's rows are thinned by the hash to a small multiple
+    of its share before they are ranked, so a ranking task sees few rows however many the label has.
+    """
+    spark, known = labelled.sparkSession, labelled.where(F.col(label).isNotNull())
+    sizes = known.groupBy(label).agg(F.count("*").alias("_of")).orderBy(F.desc("_of"), label).limit(max(1, rows))
+    schema, sizes = sizes.schema, sizes.collect()
+    each = max(1, rows // max(1, len(sizes)))
+    draw = F.xxhash64("doc_id") / F.lit(2.0**64) + F.lit(0.5)
+    likely = known.join(F.broadcast(spark.createDataFrame(sizes, schema)), label)
+    likely = likely.where(draw <= F.lit(4.0 * each + 100) / F.col("_of")).drop("_of")
     order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
-    return labels.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= max(1, rows // n)).drop("_rank")
+    return likely.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= each).drop("_rank")
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
