@@ -93,15 +93,15 @@ class QualityModel:
         weight = (np.array([1 - prior, prior]) / np.maximum(share, 1e-9)).astype(np.float32)
         steps = max(1, len(rows) // 32)
         epochs = -(-least_steps // steps)
+        table = np.zeros((-(-len(rows) // steps), BUCKETS), np.float32)  # the examples of a step, used again for the next
         for epoch in range(epochs if len(rows) else 0):
             for k, part in enumerate(np.array_split(rng.permutation(len(rows)), steps)):
                 now = rate * (1 - (epoch * steps + k) / (epochs * steps))
-                x = np.zeros((len(part), BUCKETS), np.float32)
+                x = table[: len(part)]
+                x.fill(0)
                 for i, r in enumerate(part):
                     x[i, rows[r][0]] = rows[r][1]
-                used = np.flatnonzero(x.any(axis=0))
-                x = x[:, used]
-                hidden = x @ vectors[used]
+                hidden = x @ vectors
                 out = hidden @ layer + bias
                 out = np.exp(out - out.max(axis=1, keepdims=True))
                 pull = out / out.sum(axis=1, keepdims=True)
@@ -110,7 +110,7 @@ class QualityModel:
                 back = pull @ layer.T
                 layer -= now / 20 * (hidden.T @ pull)
                 bias -= now / 20 * pull.sum(axis=0)
-                vectors[used] -= now * (x.T @ back)
+                vectors -= now * (x.T @ back)
         difference = layer[:, 1] - layer[:, 0]
         return cls((vectors @ difference).astype(np.float64), float(bias[1] - bias[0]))
 
