@@ -380,7 +380,7 @@ def household_purchase_features(spark, folder):
 
 @query(O.chain(("features",), f"SELECT {rounded_sql(S.ALL_FEATURES)} FROM features"))
 def household_features(spark, folder):
-    """Sources to the full feature table, nothing written on the way but the identity table."""
+    """Sources to the full feature table, with the tables that a campaign run writes on the way."""
     tables = prepare_households(retail_sources(spark, folder), CONFIG)
     return rounded(tables["AllFeatures"])
 
@@ -622,6 +622,131 @@ def match_report(spark, folder):
     return rounded(D.match_report(eligible, written(spark, folder, "StratifiedFeatures")))
 
 
+# ---- what must hold whatever the fitted models are -------------------------------------------
+
+
+_SEGMENTED = """
+    o_totalprice / 100000 - 1.5 AS y_res, (o_orderkey % 7 - 3) / 10 AS t_res,
+    CAST(o_custkey % 2 = 0 AS DOUBLE) AS seg_existing_buyer, CAST(o_orderkey % 3 = 0 AS DOUBLE) AS seg_lapsed,
+    CAST(o_custkey % 5 = 0 AS DOUBLE) AS seg_young, CAST(o_orderpriority < '3' AS DOUBLE) AS seg_senior,
+    CAST(o_orderstatus = 'F' AS DOUBLE) AS seg_high_income"""
+
+
+@query(f"""SELECT ROUND(SUM(y_res), 4) AS moment_one, ROUND(SUM(y_res * t_res), 4) AS moment_base,
+         {", ".join(f"ROUND(SUM(y_res * t_res * seg_{n}), 4) AS moment_{n}" for n in E.SEGMENTS)}
+  FROM (SELECT {_SEGMENTED} FROM orders)""")
+def segment_effects(spark, folder):
+    """Normal equations: the fitted values have the same product with every regressor as the outcome residuals.
+
+    Residuals and segments are made from orders, so that no segment follows from the others."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    df = run_sql(spark, f"SELECT {_SEGMENTED} FROM @orders", {"orders": orders})
+    terms = [F.col("t_res"), *[F.col("t_res") * F.col(f"seg_{name}") for name in E.SEGMENTS]]
+    slopes = sum((F.lit(b) * x for b, x in zip(E.segment_effects(df).coefficients, terms)), F.lit(0.0))
+    intercept = df.agg(F.avg(F.col("y_res") - slopes)).first()[0]
+    names = ("one", "base", *E.SEGMENTS)
+    moments = [F.sum((slopes + F.lit(intercept)) * x) for x in (F.lit(1.0), *terms)]
+    # Adding zero makes a negative zero a positive one.
+    return df.agg(*[(F.round(m, 4) + F.lit(0.0)).alias(f"moment_{n}") for n, m in zip(names, moments)])
+
+
+@query(O.chain(("residual",), """
+  , ranked AS (SELECT treatment, RANK() OVER (ORDER BY t_score) + (COUNT(*) OVER (PARTITION BY t_score) - 1) / 2.0 AS r
+               FROM residual),
+  auc AS (SELECT (SUM(r) - COUNT(*) * (COUNT(*) + 1) / 2.0) / COUNT(*) / (SELECT COUNT(*) FROM ranked WHERE treatment = 0)
+            AS treatment_auc FROM ranked WHERE treatment = 1),
+  fit AS (SELECT regr_slope(y_res, t_res) AS effect, COUNT(*) AS n, SUM(CAST(treatment AS DOUBLE)) AS treated,
+           sqrt((regr_syy(y_res, t_res) - regr_sxy(y_res, t_res) ** 2 / regr_sxx(y_res, t_res))
+                / (regr_count(y_res, t_res) - 2) / regr_sxx(y_res, t_res)) AS se,
+           AVG(post_campaign_total_order_value) FILTER (treatment = 1) AS amount,
+           1 - SUM(y_res ** 2) / (VAR_POP(post_campaign_total_order_value) * COUNT(*)) AS r2 FROM residual)
+  SELECT ROUND(effect, 6) AS incremental_lift, ROUND(effect / (amount - effect) * 100, 6) AS lift_percent,
+         ROUND(amount, 6) AS avg_treatment_amount, ROUND(amount - effect, 6) AS expected_amount, n AS total_row_count,
+         treated AS treated_count, ROUND(r2, 6) AS outcome_r2, ROUND(treatment_auc, 6) AS treatment_auc,
+         ROUND((effect - 1.96 * se) / (amount - effect) * 100, 6) AS lift_pct_ci_lower,
+         ROUND((effect + 1.96 * se) / (amount - effect) * 100, 6) AS lift_pct_ci_upper,
+         ROUND(effect - 1.96 * se, 6) AS lift_ci_lower, ROUND(effect + 1.96 * se, 6) AS lift_ci_upper,
+         CAST(24 AS INTEGER) AS columns_in_row FROM fit, auc"""))
+def result_row(spark, folder):
+    """The result row from predictions that SQL can compute, without p-values and segment effects."""
+    row = E.lift_summary(_predicted(spark, folder), CONFIG)
+    return rounded(row.select(*row.columns[:12], F.lit(len(row.columns)).alias("columns_in_row")))
+
+
+@query(O.chain(("stratified",), """
+  SELECT addressLink, treatment, CAST(CAST('0x' || substr(md5(addressLink || ':42'), 1, 8) AS BIGINT) % 5 AS INT) AS fold
+  FROM stratified"""))
+def cross_fitted_rows(spark, folder):
+    """Every matched household is predicted once, by the models of its own fold."""
+    design = E.design_matrix(written(spark, folder, "StratifiedFeatures"), E.LINEAR, CONFIG, E.TOTAL_OUTCOME)
+    predicted = E.cross_fit(design, E.LINEAR, CONFIG).where("y_hat IS NOT NULL AND t_score BETWEEN 0 AND 1")
+    return predicted.select(S.HOUSEHOLD, "treatment", "fold")
+
+
+@query(O.chain(("eligible",), """
+  SELECT COUNT(*) FILTER (treatment = 1) AS treated_households, CAST(0 AS BIGINT) AS repeated_households,
+         CAST(0 AS BIGINT) AS ineligible_households, CAST(0 AS BIGINT) AS overfull_bins FROM eligible"""))
+def propensity_match_rules(spark, folder):
+    """All eligible treated households stay; controls are distinct, eligible and no more than a bin's treated."""
+    matched = written(spark, folder, "PSMMatchedFeatures")
+    eligible = M.eligible_households(written(spark, folder, "AllFeatures")).select(S.HOUSEHOLD)
+    bins = matched.groupBy(caliper_bin(F.col("propensity_score"), CONFIG.caliper).alias("bin")).agg(
+        F.sum(F.when(F.col("treatment") == 1, -1).otherwise(1)).alias("surplus")
+    )
+    households = matched.agg(
+        F.count_if(F.col("treatment") == 1).alias("treated_households"),
+        (F.count("*") - F.count_distinct(S.HOUSEHOLD)).alias("repeated_households"),
+        F.lit(matched.join(eligible, S.HOUSEHOLD, "left_anti").count()).cast("long").alias("ineligible_households"),
+    )
+    return households.withColumn("overfull_bins", F.lit(bins.where("surplus > 0").count()).cast("long"))
+
+
+@query(O.chain(("stratified",), """
+  SELECT addressLink, ROUND(baseline_60d_revenue, 6) AS post_campaign_total_order_value,
+         ROUND(baseline_12m_revenue_sum - baseline_60d_revenue, 6) AS pre_campaign_total_order_value,
+         baseline_12m_orders - baseline_60d_orders AS baseline_12m_orders,
+         ROUND(COALESCE((baseline_12m_revenue_sum - baseline_60d_revenue)
+                        / NULLIF(baseline_12m_orders - baseline_60d_orders, 0), 0), 6) AS baseline_12m_avg_order_value
+  FROM stratified"""))
+def placebo_features(spark, folder):
+    """The placebo's outcome, and earlier spend, orders and order value from before its days."""
+    df = E.with_model_columns(written(spark, folder, "StratifiedFeatures"), E.PLACEBO_OUTCOME)
+    names = ("post_campaign_total_order_value", "pre_campaign_total_order_value", "baseline_12m_orders")
+    return rounded(df.select(S.HOUSEHOLD, *names, "baseline_12m_avg_order_value"))
+
+
+@query("""SELECT *, lift_p_value > 0.05 AND lift_ci_lower <= 0 AND lift_ci_upper >= 0 AS placebo_passed FROM (
+            SELECT c_nationkey AS nation, (c_nationkey % 8) / 40 AS lift_p_value,
+                   ROUND(MIN(c_acctbal) + 400, 2) AS lift_ci_lower, ROUND(MAX(c_acctbal) - 9400, 2) AS lift_ci_upper
+            FROM customer GROUP BY c_nationkey)""")
+def placebo_verdicts(spark, folder):
+    """The verdict on rows of which some are significant, or have limits that do not span zero."""
+    customers = spark.read.parquet(f"{folder}/customer.parquet")
+    rows = customers.groupBy(F.col("c_nationkey").alias("nation")).agg(
+        ((F.first("c_nationkey") % 8) / 40).alias("lift_p_value"),
+        F.round(F.min("c_acctbal") + 400, 2).alias("lift_ci_lower"),
+        F.round(F.max("c_acctbal") - 9400, 2).alias("lift_ci_upper"),
+    )
+    return D.placebo_verdict(rows)
+
+
+_STATISTICS_SQL = """SELECT '{name}' AS design, COUNT(*) AS total_row_count,
+         SUM(CAST(treatment AS DOUBLE)) AS treated_count,
+         ROUND(AVG(post_campaign_total_order_value) FILTER (treatment = 1), 6) AS avg_treatment_amount,
+         ROUND(1 - SUM(y_res ** 2) / NULLIF(VAR_POP(post_campaign_total_order_value) * COUNT(*), 0), 6) AS outcome_r2
+  FROM residual WHERE {where}"""
+
+
+@query(O.chain(("residual",), " UNION ALL ".join(
+    _STATISTICS_SQL.format(name=name, where=where)
+    for name, where in (("everybody", "true"), ("buyers", "has_baseline_purchase = 1")))))
+def estimates_compared(spark, folder):
+    """Rows of two groups under one another, each with its name."""
+    df = _predicted(spark, folder)
+    buyers = df.where("has_baseline_purchase = 1")
+    return rounded(D.compare_estimates({"everybody": E.fit_statistics(df), "buyers": E.fit_statistics(buyers)}))
+
+
 # ---- fitted models: no SQL equivalent --------------------------------------------------------
 
 

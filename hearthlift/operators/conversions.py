@@ -63,6 +63,19 @@ def dedupe_by_identity(conversions: DataFrame) -> DataFrame:
     return first_per_key(conversions, keys, _best_first())
 
 
+def household_of_identity(identities: DataFrame) -> DataFrame:
+    """One row per purchase identity and household: the one that dedupe_by_household would choose.
+
+    An identity's other rows would only multiply its purchases before the dedup takes them out again.
+    """
+    known = identities.where(F.col("lr_id").isNotNull())
+    return first_per_key(known, ["lr_id", HOUSEHOLD], _identity_order())
+
+
+def _identity_order() -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in ("hhpel", "Grouping_Indicator", "online_identity_id")]
+
+
 def to_households(conversions: DataFrame, identities: DataFrame) -> DataFrame:
     """Every purchase once per household identity it resolves to.
 
@@ -80,8 +93,7 @@ def dedupe_by_household(conversions: DataFrame) -> DataFrame:
     the identity columns, so the choice does not depend on partitioning.
     """
     keys = [HOUSEHOLD, "order_id", "transaction_timestamp_unix", "product_id"]
-    identity = [F.col(c).asc_nulls_last() for c in ("hhpel", "Grouping_Indicator", "online_identity_id")]
-    return first_per_key(conversions, keys, [*_best_first(), *identity])
+    return first_per_key(conversions, keys, [*_best_first(), *_identity_order()])
 
 
 def mark_campaign_products(conversions: DataFrame, products: DataFrame) -> DataFrame:
@@ -98,8 +110,10 @@ def household_conversions(
     by the same preference and its groups contain the identity groups whole, so the best row of a
     household group is the same with or without them. That leaves two shuffles of the purchases,
     by identity and by household order; the household dedup drops copies before its shuffle.
+    Products are looked up on the scanned purchases, where that shuffles nothing if the list is small,
+    and where hot products can be counted without repeating the joins. Runs Spark jobs at once.
     """
     scoped = conversions_in_period(conversion, config)
-    unique = dedupe_by_household(to_households(scoped, identities))
-    marked = mark_campaign_products(unique, campaign_products(campaign, config))
-    return typed(marked.withColumn("product_id", F.col("product_id").try_cast("bigint")), RAW_CONVERSION)
+    marked = mark_campaign_products(scoped, campaign_products(campaign, config))
+    unique = dedupe_by_household(to_households(marked, household_of_identity(identities)))
+    return typed(unique.withColumn("product_id", F.col("product_id").try_cast("bigint")), RAW_CONVERSION)

@@ -16,7 +16,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthlift import schemas as S
@@ -167,6 +167,7 @@ class Learner:
 
 ROWS_PER_FITTING_TASK = 50_000
 SKETCH_ACCURACY = 10_000
+PARTS = 1_000
 
 LINEAR = Learner("linear")
 TREES = Learner("trees")
@@ -223,8 +224,8 @@ def upper_limits(df: DataFrame, columns: Sequence[str], share: float = 0.99) ->
     """Exact quantile of every column: the smallest value with at least `share` of the values up to it.
 
     A mergeable sketch narrows each column to a strip around the quantile. If the table is large
-    enough for the sketch to be inexact, the values inside the strips are counted and ranked, which
-    touches a few ten-thousandths of the rows; repeated values are combined first. The result
+    enough for the sketch to be inexact, the values inside the strips are counted part by part until one
+    is left, which touches a few ten-thousandths of the rows and needs no sort. The result
     therefore does not depend on how rows are merged, as a sketch alone would.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -248,22 +249,47 @@ def upper_limits(df: DataFrame, columns: Sequence[str], share: float = 0.99) ->
         margin *= 10
 
 
+def _part_of(value: Column, low: float, high: float) -> Column:
+    """Part of low..high, whose ends are parts of their own so that every round narrows them."""
+    within = F.floor((value / 2 - low / 2) / (high / 2 - low / 2) * PARTS).cast("long")
+    return F.when(value == low, -1).when(value == high, PARTS + 1).otherwise(within)
+
+
 def _ranked_in_strip(numbers: DataFrame, strips: dict[str, list[float]], share: float) -> dict[str, float] | None:
-    """Quantile by rank among the values of each strip; None if a quantile lies outside its strip."""
+    """Quantile by rank among the values of each strip; None if a quantile lies outside its strip.
+
+    Values are counted by PARTS parts of the strip, and the part that holds the rank is the next strip, until
+    one value is left. Nothing is sorted, and a part per row is all that reaches the driver.
+    """
+    inside = {c: F.when(F.col(c).between(low, high), F.col(c)) for c, (low, _, high) in strips.items()}
     sides = numbers.agg(
         *[F.count(c).alias(f"n_{c}") for c in strips],
         *[F.count_if(F.col(c) < low).alias(f"below_{c}") for c, (low, _, _) in strips.items()],
+        *[f(v).alias(f"{f.__name__}_{c}") for c, v in inside.items() for f in (F.count, F.min, F.max)],
     ).first()
     wanted = {c: math.ceil(share * sides[f"n_{c}"]) - sides[f"below_{c}"] for c in strips}
-    inside = numbers.select(
-        *[F.when(F.col(c).between(low, high), F.col(c)).alias(c) for c, (low, _, high) in strips.items()]
-    ).unpivot([], list(strips), "name", "value")
-    counted = inside.where(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count("*").alias("rows"))
-    upto = F.sum("rows").over(Window.partitionBy("name").orderBy("value"))
-    rank = F.expr("CASE name " + " ".join(f"WHEN '{c}' THEN {k}" for c, k in wanted.items()) + " END")
-    found = counted.withColumn("upto", upto).where(F.col("upto") >= rank).groupBy("name").agg(F.min("value").alias("limit"))
-    limits = {row["name"]: row["limit"] for row in found.collect()}
-    return limits if len(limits) == len(strips) and min(wanted.values(), default=1) >= 1 else None
+    if any(not 1 <= wanted[c] <= sides[f"count_{c}"] for c in strips):
+        return None
+    ends = {c: (sides[f"min_{c}"], sides[f"max_{c}"]) for c in strips}
+    while open_ := [c for c, (low, high) in ends.items() if low < high]:
+        values = numbers.select(*[F.when(F.col(c).between(*ends[c]), F.col(c)).alias(c) for c in open_])
+        part = reduce(
+            lambda rest, c: F.when(F.col("name") == c, _part_of(F.col("value"), *ends[c])).otherwise(rest),
+            open_,
+            F.lit(None).cast("long"),
+        )
+        parts = values.unpivot([], open_, "name", "value").where(F.col("value").isNotNull())
+        parts = parts.groupBy("name", part.alias("part")).agg(
+            F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
+        found = parts.orderBy("name", "low").collect()
+        for c in open_:
+            for row in (r for r in found if r["name"] == c):
+                if wanted[c] <= row["rows"]:
+                    ends[c] = (row["low"], row["high"])
+                    break
+                wanted[c] -= row["rows"]
+    return {c: low for c, (low, _) in ends.items()}
 
 
 def winsorised(df: DataFrame, limits: dict[str, float]) -> DataFrame:

@@ -70,14 +70,26 @@ def bridge_join(
     """Join tables keyed by different kinds of identity, by way of the identity map.
 
     Base rows keep their place if every table is brought in by an outer join; an id without
-    mapping then matches nothing.
+    mapping then matches nothing. Hot ids of the base and of the map are spread over many tasks in
+    inner and left joins; counting them runs Spark jobs at once.
     """
     kinds = list(dict.fromkeys([map_column, *[t.map_column for t in tables]]))
     keep_unmapped = all(t.how in ("left", "left_outer", "leftouter") for t in tables)
     links = mapping.select(*[F.col(k).alias(f"_map_{k}") for k in kinds]).distinct()
-    joined = base.join(
-        links, base[column] == links[f"_map_{map_column}"], "left" if keep_unmapped else "inner"
+    joined = spread_join(
+        base,
+        links,
+        column,
+        f"_map_{map_column}",
+        "left" if keep_unmapped else "inner",
+        hot_keys(base, column),
+        F.struct(*base.columns),
     )
     for table in tables:
-        joined = joined.join(table.df, joined[f"_map_{table.map_column}"] == table.df[table.column], table.how)
+        key, how = f"_map_{table.map_column}", "left" if table.how in ("left_outer", "leftouter") else table.how
+        if how in ("inner", "left"):
+            hot, row = hot_keys(mapping, table.map_column), F.struct(*[joined[c] for c in base.columns])
+            joined = spread_join(joined, table.df, key, table.column, how, hot, row)
+        else:
+            joined = joined.join(table.df, joined[key] == table.df[table.column], how)
     return joined.drop(*[f"_map_{k}" for k in kinds])

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -17,6 +21,8 @@ from hearthlift.operators.conform import conform, filled, typed
 from hearthlift.operators.ranking import match_one_to_one
 from hearthlift.sources.staging import stage
 
+log = logging.getLogger(__name__)
+
 _REQUIRED = [S.HOUSEHOLD, "treatment", "is_eligible_control", "has_partial_exposure_within_addresslink"]
 
 
@@ -84,7 +90,13 @@ def propensity_matrix(eligible: DataFrame) -> DataFrame:
 
 
 def assemble(df: DataFrame, numeric, categorical, invalid: str) -> DataFrame:
-    """Vector of the numeric columns and of frequency-ranked labels, all labels in one fit."""
+    """Vector of the numeric columns and of frequency-ranked labels, all labels in one fit.
+
+    With `invalid` "skip" rows without one of the numbers are left out, and their number is logged."""
+    if invalid == "skip":
+        left_out = rows_left_out(df, numeric)
+        if left_out:
+            log.warning("%d rows without one of the numeric features are left out", left_out)
     indexes = [f"{c}_index" for c in categorical]
     if categorical:
         indexer = StringIndexer(inputCols=list(categorical), outputCols=indexes, handleInvalid="keep")
@@ -93,6 +105,11 @@ def assemble(df: DataFrame, numeric, categorical, invalid: str) -> DataFrame:
     return assembler.transform(df).drop(*indexes)
 
 
+def rows_left_out(df: DataFrame, numeric) -> int:
+    """Rows in which a numeric feature is null or not a number."""
+    return df.where(reduce(or_, [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in numeric])).count()
+
+
 def rebalanced(matrix: DataFrame, config: CampaignConfig) -> DataFrame:
     """All treated rows and a hash sample of controls, `control_ratio` per treated row."""
     arms = matrix.agg(F.count_if(is_treated()).alias("treated"), F.count_if(~is_treated()).alias("control")).first()

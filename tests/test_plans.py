@@ -105,3 +105,25 @@ def test_a_fold_is_read_from_its_folder(tables):
     design = E.design_matrix(tables["AllFeatures"], E.LINEAR, RETAIL_CAMPAIGN, E.TOTAL_OUTCOME)
     plan = plan_of(design.where(F.col("fold") != 2))
     assert re.search(r"PartitionFilters: \[.*fold", plan)
+
+
+def test_purchases_meet_one_row_per_identity_and_household(sources, identities):
+    reduced = C.household_of_identity(identities)
+    assert reduced.count() == reduced.select("lr_id", "addressLink").distinct().count() > 0
+    scoped = stage(C.conversions_in_period(sources["conversion"], RETAIL_CAMPAIGN), "scoped")
+    whole = C.dedupe_by_household(C.to_households(scoped, identities))
+    slim = C.dedupe_by_household(C.to_households(scoped, reduced)).select(whole.columns)
+    assert whole.exceptAll(slim).isEmpty() and slim.exceptAll(whole).isEmpty()
+
+
+def test_quantiles_by_narrowed_counts(spark, monkeypatch):
+    values = [(float((k * 7919) % 1009) ** 3 * (-1 if k % 5 == 0 else 1), float(k % 3)) for k in range(3000)]
+    values += [(float("inf"), None), (float("-inf"), 1.0)]
+    df = spark.createDataFrame(values, "a double, b double")
+    monkeypatch.setattr(E, "PARTS", 7)
+    strips = {c: [float("-inf"), 0.0, float("inf")] for c in "ab"}
+    for share in (0.01, 0.5, 0.99, 1.0):
+        got = E._ranked_in_strip(df, strips, share)
+        for k, c in enumerate("ab"):
+            known = sorted(v[k] for v in values if v[k] is not None)
+            assert got[c] == known[-(-round(share * 100) * len(known) // 100) - 1]
