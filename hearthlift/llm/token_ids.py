@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 from struct import pack
 
@@ -41,7 +42,8 @@ class KeptIds:
 
 
 class TextEncoder(KeptIds):
-    """The ids that Tokenizer.encode(text, add_special_tokens=False) gives for whole texts.
+    """The ids that Tokenizer.encode(text, add_special_tokens=False) gives for whole texts with
+    encode_special_tokens, that is, with special tokens in a text taken as ordinary characters.
 
     The library encodes every distinct pre-token; it applies the same pattern to a text, so that the ids of
     a text are those of its pre-tokens one after the other.
@@ -61,7 +63,47 @@ class TextEncoder(KeptIds):
         return [done.ids for done in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
+class AddedTokenEncoder(TextEncoder):
+    """The ids that Tokenizer.encode(text, add_special_tokens=False) gives for whole texts by an unmodified tokenizer.
+
+    The library finds its added tokens before it applies the pattern, of those that begin at one place the
+    longest, and encodes what lies between them as texts of their own. Texts with added tokens that take in or
+    ask for certain neighbours are left to the library.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        from tokenizers import Tokenizer
+
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: self.dtype.type(k) for k, t in added.items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.pattern = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
+        plain = not any(t.single_word or t.lstrip or t.rstrip for t in added.values())
+        self.library = None if plain else Tokenizer.from_file(path)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        holds = [k for k, text in enumerate(texts) if any(content in text for content in self.added)]
+        if not holds:
+            return super().encode(texts)
+        # Parts of a text with added tokens take turns: what lies between them, and they themselves.
+        parts = {k: self.pattern.split(texts[k]) if self.library is None else [] for k in holds}
+        own = [text for k, text in enumerate(texts) for text in (parts[k][::2] if k in parts else [text])]
+        found, out = iter(super().encode(own)), []
+        for k, text in enumerate(texts):
+            if k not in parts:
+                out.append(next(found))
+            elif self.library is not None:
+                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype))
+            else:
+                pieces = [next(found)]
+                for content in parts[k][1::2]:
+                    pieces += [np.array([self.added[content]], self.dtype), next(found)]
+                out.append(np.concatenate(pieces))
+        return out
+
+
 @lru_cache(2)
-def text_encoder(path: str) -> TextEncoder:
+def text_encoder(path: str) -> AddedTokenEncoder:
     """One encoder per worker and vocabulary file."""
-    return TextEncoder(path)
+    return AddedTokenEncoder(path)
