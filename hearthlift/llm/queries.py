@@ -6,6 +6,7 @@ from hearthlift.llm.bpe import op6_byte_bpe
 from hearthlift.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from hearthlift.llm.language_id import op7_language_id
 from hearthlift.llm.line_chunks import OP3_SQL, op3_line_chunk_dedup
+from hearthlift.llm.merkle import OP12_SQL, op12_merkle_manifest
 from hearthlift.llm.packing import op2_vector_packing
 from hearthlift.llm.quality_classifier import op10_quality_classifier
 from hearthlift.llm.quality_rules import OP1_SQL, op1_repetition_coverage
@@ -26,6 +27,12 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_exact_dedup,
         op10_quality_classifier,
+        op12_merkle_manifest,
     )
 }
-ORACLES = {"op1_repetition_coverage": OP1_SQL, "op3_line_chunk_dedup": OP3_SQL, "op9_exact_dedup": OP9_SQL}
+ORACLES = {
+    "op1_repetition_coverage": OP1_SQL,
+    "op3_line_chunk_dedup": OP3_SQL,
+    "op9_exact_dedup": OP9_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+}
