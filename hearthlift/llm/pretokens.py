@@ -150,14 +150,38 @@ def begins(codes: np.ndarray, gaps: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(out.T).ravel()[:n]
 
 
+def joined_starts(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
+    """The texts joined by a gap each, where their pre-tokens and the gaps begin in it, and where texts end,
+    each with the gap behind it. All in code points."""
+    joined = "\0".join(texts)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    if not joined:
+        return joined, np.zeros(0, np.intp), ends
+    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    return joined, np.flatnonzero(begins(codes, ends[:-1] - 1)), ends
+
+
+def byte_slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts joined in UTF-8, first byte and bytes of every pre-token, and for every text the number of
+    pre-tokens up to its end. A gap between texts is a pre-token of no bytes."""
+    joined, starts, ends = joined_starts(texts)
+    data = joined.encode()
+    cut = np.searchsorted(starts, ends)
+    gaps = cut[:-1] - 1
+    if len(data) > len(joined):
+        # Where characters begin: at all bytes but 10xxxxxx.
+        starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)[starts]
+    sizes = np.diff(starts, append=len(data))
+    if len(starts):
+        sizes[gaps] = 0
+    return data, starts, sizes, cut
+
+
 def split_all(texts: list[str]) -> tuple[list[str], list[tuple[int, int]]]:
     """Pre-tokens of all texts in one list, and the range of each text in it."""
-    joined = "\0".join(texts)
+    joined, starts, ends = joined_starts(texts)
     if not joined:
         return [], [(0, 0)] * len(texts)
-    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    starts = np.flatnonzero(begins(codes, ends[:-1] - 1))
     bounds = starts.tolist()
     bounds.append(len(joined))
     words = [joined[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]

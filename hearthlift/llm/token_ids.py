@@ -10,9 +10,11 @@ from struct import pack
 import numpy as np
 
 from hearthlift.llm import pretokens
+from hearthlift.llm.word_table import WordTable
 
 # Entries at which a worker's table of pre-tokens is emptied, some 100 MB. It only saves time.
 KEPT_WORDS = 600_000
+GAP, JOINED_WORDS = "\0", 512
 
 
 class KeptIds:
@@ -41,26 +43,55 @@ class KeptIds:
         return [np.frombuffer(b"".join(found[a:b]), self.dtype) for a, b in ranges]
 
 
-class TextEncoder(KeptIds):
+class TextEncoder:
     """The ids that Tokenizer.encode(text, add_special_tokens=False) gives for whole texts with
     encode_special_tokens, that is, with special tokens in a text taken as ordinary characters.
 
     The library encodes every distinct pre-token; it applies the same pattern to a text, so that the ids of
-    a text are those of its pre-tokens one after the other.
+    a text are those of its pre-tokens one after the other. Those seen before are looked up as arrays.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+
+        def splitting(*before):
+            tokenizer = Tokenizer.from_file(path)
+            tokenizer.encode_special_tokens = True
+            tokenizer.pre_tokenizer = Sequence([*before, ByteLevel(add_prefix_space=False, use_regex=False)])
+            return tokenizer
+
+        self.tokenizer = splitting()
+        # Words come joined by GAP, so that one call encodes many; the gap's own id tells them apart again.
+        self.joined = splitting(Split(GAP, "isolated"))
+        (self.gap,) = self.joined.encode(GAP, add_special_tokens=False).ids
+        self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.table = WordTable(self.dtype, self.encode_words)
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and how many each has."""
+        ids, counts = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for a in range(0, len(words), JOINED_WORDS):
+            part = words[a : a + JOINED_WORDS]
+            (done,) = self.joined.encode_batch_fast([GAP.join(part)], add_special_tokens=False)
+            found = np.array(done.ids, self.dtype)
+            gaps = np.flatnonzero(found == self.gap)
+            if len(gaps) == len(part) - 1:
+                ids.append(np.delete(found, gaps))
+                counts.append(np.diff(np.append(gaps, len(found)), prepend=-1) - 1)
+            else:  # a word has a gap in it
+                each = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                ids += [np.array(x, self.dtype) for x in each]
+                counts.append(np.array([len(x) for x in each]))
+        return np.concatenate(ids), np.concatenate(counts)
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        super().__init__(np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4"))
-
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        return [done.ids for done in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text."""
+        data, starts, sizes, cut = pretokens.byte_slices(texts)
+        ids, ends = self.table.ids(data, starts, sizes)
+        stops = np.concatenate([[0], ends])[cut].tolist()
+        return [ids[a:b] for a, b in zip([0, *stops], stops, strict=False)]
 
 
 class AddedTokenEncoder(TextEncoder):
