@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hearthlift.llm.bin_slack import op13_minimum_bin_slack
 from hearthlift.llm.bpe import op6_byte_bpe
 from hearthlift.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from hearthlift.llm.language_id import op7_language_id
@@ -28,6 +29,7 @@ QUERIES = {
         op9_exact_dedup,
         op10_quality_classifier,
         op12_merkle_manifest,
+        op13_minimum_bin_slack,
     )
 }
 ORACLES = {
