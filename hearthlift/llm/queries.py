@@ -9,6 +9,7 @@ from hearthlift.llm.language_id import op7_language_id
 from hearthlift.llm.line_chunks import OP3_SQL, op3_line_chunk_dedup
 from hearthlift.llm.merkle import OP12_SQL, op12_merkle_manifest
 from hearthlift.llm.packing import op2_vector_packing
+from hearthlift.llm.pair_search import OP11_SQL, op11_pair_bound_search
 from hearthlift.llm.quality_classifier import op10_quality_classifier
 from hearthlift.llm.quality_rules import OP1_SQL, op1_repetition_coverage
 from hearthlift.llm.simhash import op8_simhash_near_dedup
@@ -28,6 +29,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_exact_dedup,
         op10_quality_classifier,
+        op11_pair_bound_search,
         op12_merkle_manifest,
         op13_minimum_bin_slack,
     )
@@ -36,5 +38,6 @@ ORACLES = {
     "op1_repetition_coverage": OP1_SQL,
     "op3_line_chunk_dedup": OP3_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op11_pair_bound_search": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
 }
