@@ -21,7 +21,7 @@ def canonical(columns, rows):
 
     def cell(v):
         if isinstance(v, float):
-            return f"{v + 0.0:.6f}".replace("-0.000000", "0.000000")
+            return f"{v + 0.0:.9f}".replace("-0.000000000", "0.000000000")
         return str(v)
 
     return sorted(tuple(cell(row[i]) for i in order) for row in rows), [columns[i] for i in order]

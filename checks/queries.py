@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -14,14 +16,17 @@ from checks import oracles as O
 from hearthlift import schemas as S
 from hearthlift.functions.hashing import hash_bucket
 from hearthlift.functions.values import caliper_bin, clipped, parse_flag
+from hearthlift.operators import boosting as B
 from hearthlift.operators import conversions as C
 from hearthlift.operators import diagnostics as D
 from hearthlift.operators import estimation as E
 from hearthlift.operators import exposures as X
 from hearthlift.operators import identity as I
 from hearthlift.operators import matching as M
+from hearthlift.operators import newton as N
 from hearthlift.operators.conform import conform, filled, typed, with_baseline_flag
 from hearthlift.operators.demographics import current_people, household_demographics
+from hearthlift.operators.least_squares import cross_products, fitted
 from hearthlift.operators.purchases import household_purchases
 from hearthlift.operators.skew import hot_keys
 from hearthlift.plans.campaign import prepare_households
@@ -476,6 +481,13 @@ def label_index(spark, folder):
 # ---- estimation ------------------------------------------------------------------------------
 
 
+_SEGMENTED = """
+    o_totalprice / 100000 - 1.5 AS y_res, (o_orderkey % 7 - 3) / 10 AS t_res,
+    CAST(o_custkey % 2 = 0 AS DOUBLE) AS seg_existing_buyer, CAST(o_orderkey % 3 = 0 AS DOUBLE) AS seg_lapsed,
+    CAST(o_custkey % 5 = 0 AS DOUBLE) AS seg_young, CAST(o_orderpriority < '3' AS DOUBLE) AS seg_senior,
+    CAST(o_orderstatus = 'F' AS DOUBLE) AS seg_high_income"""
+
+
 _MODEL_COLUMNS = (
     "post_campaign_total_order_value", "pre_campaign_total_order_value", "baseline_60d_revenue", "gender", "est_age",
     "est_income_code", "revenue_bin_ordinal", "buyer_label_ordinal",
@@ -536,34 +548,32 @@ def residuals_and_segments(spark, folder):
 
 
 @query(O.chain(("residual",), """
-  SELECT ROUND(slope, 6) AS effect, ROUND(se, 6) AS standard_error FROM (
+  SELECT ROUND(slope, 9) AS effect, ROUND(se, 9) AS standard_error FROM (
     SELECT regr_slope(y_res, t_res) AS slope,
            sqrt((regr_syy(y_res, t_res) - regr_sxy(y_res, t_res) ** 2 / regr_sxx(y_res, t_res))
                 / (regr_count(y_res, t_res) - 2) / regr_sxx(y_res, t_res)) AS se FROM residual)"""))
 def residual_effect(spark, folder):
     """Slope and standard error of outcome residuals on treatment residuals."""
-    fit = E.residual_effect(E.residuals(_predicted(spark, folder)))
-    values = [(round(fit.coefficients[0], 6), round(fit.standard_errors[0], 6))]
-    return spark.createDataFrame(values, "effect double, standard_error double")
+    row = E.effect_row(E.residuals(_predicted(spark, folder)))
+    return rounded(row.select(F.col("mean_b")[0].alias("effect"), F.col("mean_e")[0].alias("standard_error")), 9)
 
 
 @query(O.chain(("residual",), """
   SELECT COUNT(*) AS total_row_count, SUM(CAST(treatment AS DOUBLE)) AS treated_count,
-         ROUND(AVG(CASE WHEN treatment = 1 THEN post_campaign_total_order_value END), 6) AS avg_treatment_amount,
-         ROUND(1 - SUM(y_res ** 2) / (VAR_POP(post_campaign_total_order_value) * COUNT(*)), 6) AS outcome_r2
+         ROUND(AVG(CASE WHEN treatment = 1 THEN post_campaign_total_order_value END), 9) AS avg_treatment_amount,
+         ROUND(1 - SUM(y_res ** 2) / (VAR_POP(post_campaign_total_order_value) * COUNT(*)), 9) AS outcome_r2
   FROM residual"""))
 def fit_statistics(spark, folder):
-    return rounded(E.fit_statistics(_predicted(spark, folder)))
+    return rounded(E.fit_statistics(_predicted(spark, folder)), 9)
 
 
 @query(O.chain(("predicted",), """
   , ranked AS (SELECT treatment, RANK() OVER (ORDER BY t_score) + (COUNT(*) OVER (PARTITION BY t_score) - 1) / 2.0 AS r
                FROM predicted)
   SELECT ROUND((SUM(r) FILTER (treatment = 1) - COUNT(*) FILTER (treatment = 1) * (COUNT(*) FILTER (treatment = 1) + 1) / 2.0)
-         / (COUNT(*) FILTER (treatment = 1) * COUNT(*) FILTER (treatment = 0)), 6) AS treatment_auc FROM ranked"""))
+         / (COUNT(*) FILTER (treatment = 1) * COUNT(*) FILTER (treatment = 0)), 9) AS treatment_auc FROM ranked"""))
 def treatment_auc(spark, folder):
-    value = E.treatment_auc(_predicted(spark, folder))
-    return spark.createDataFrame([(round(value, 6),)], "treatment_auc double")
+    return rounded(E.treatment_auc(_predicted(spark, folder)), 9)
 
 
 @query(O.chain(("residual",), """
@@ -571,18 +581,15 @@ def treatment_auc(spark, folder):
            sqrt((regr_syy(y_res, t_res) - regr_sxy(y_res, t_res) ** 2 / regr_sxx(y_res, t_res))
                 / (regr_count(y_res, t_res) - 2) / regr_sxx(y_res, t_res)) AS se,
            AVG(CASE WHEN treatment = 1 THEN post_campaign_total_order_value END) AS treated FROM residual)
-  SELECT ROUND(treated - effect, 6) AS expected_amount, ROUND(effect / (treated - effect) * 100, 6) AS lift_percent,
-         ROUND(effect - 1.96 * se, 6) AS lift_ci_lower, ROUND(effect + 1.96 * se, 6) AS lift_ci_upper,
-         ROUND((effect - 1.96 * se) / (treated - effect) * 100, 6) AS lift_pct_ci_lower,
-         ROUND((effect + 1.96 * se) / (treated - effect) * 100, 6) AS lift_pct_ci_upper FROM fit"""))
+  SELECT ROUND(treated - effect, 9) AS expected_amount, ROUND(effect / (treated - effect) * 100, 9) AS lift_percent,
+         ROUND(effect - 1.96 * se, 9) AS lift_ci_lower, ROUND(effect + 1.96 * se, 9) AS lift_ci_upper,
+         ROUND((effect - 1.96 * se) / (treated - effect) * 100, 9) AS lift_pct_ci_lower,
+         ROUND((effect + 1.96 * se) / (treated - effect) * 100, 9) AS lift_pct_ci_upper FROM fit"""))
 def lift_limits(spark, folder):
     """Counterfactual mean, lift percent and confidence limits."""
-    df = _predicted(spark, folder)
-    fit = E.residual_effect(E.residuals(df))
-    columns = E.lift_columns(
-        F.lit(fit.coefficients[0]), F.lit(fit.standard_errors[0]), F.col("avg_treatment_amount")
-    )
-    return rounded(E.fit_statistics(df).withColumns(columns).select(*columns))
+    row = E.effect_row(E.residuals(_predicted(spark, folder)))
+    columns = E.lift_columns(F.col("mean_b")[0], F.col("mean_e")[0], F.col("avg_treatment_amount"))
+    return rounded(row.withColumns(columns).select(*columns), 9)
 
 
 _BALANCE = ", ".join(
@@ -625,13 +632,6 @@ def match_report(spark, folder):
 # ---- what must hold whatever the fitted models are -------------------------------------------
 
 
-_SEGMENTED = """
-    o_totalprice / 100000 - 1.5 AS y_res, (o_orderkey % 7 - 3) / 10 AS t_res,
-    CAST(o_custkey % 2 = 0 AS DOUBLE) AS seg_existing_buyer, CAST(o_orderkey % 3 = 0 AS DOUBLE) AS seg_lapsed,
-    CAST(o_custkey % 5 = 0 AS DOUBLE) AS seg_young, CAST(o_orderpriority < '3' AS DOUBLE) AS seg_senior,
-    CAST(o_orderstatus = 'F' AS DOUBLE) AS seg_high_income"""
-
-
 @query(f"""SELECT ROUND(SUM(y_res), 4) AS moment_one, ROUND(SUM(y_res * t_res), 4) AS moment_base,
          {", ".join(f"ROUND(SUM(y_res * t_res * seg_{n}), 4) AS moment_{n}" for n in E.SEGMENTS)}
   FROM (SELECT {_SEGMENTED} FROM orders)""")
@@ -650,27 +650,62 @@ def segment_effects(spark, folder):
     return df.agg(*[(F.round(m, 4) + F.lit(0.0)).alias(f"moment_{n}") for n, m in zip(names, moments)])
 
 
-@query(O.chain(("residual",), """
-  , ranked AS (SELECT treatment, RANK() OVER (ORDER BY t_score) + (COUNT(*) OVER (PARTITION BY t_score) - 1) / 2.0 AS r
-               FROM residual),
+O.cte("orders_segmented", (), f"SELECT {_SEGMENTED} FROM orders")
+_SEGMENT_FLAGS = """
+  , flagged AS (
+    SELECT *, CAST(has_baseline_purchase AS DOUBLE) AS seg_existing_buyer,
+           CASE WHEN days_since_last_baseline_purchase >= 30 THEN 1.0::DOUBLE ELSE 0.0 END AS seg_lapsed,
+           CASE WHEN est_age <= 35 THEN 1.0::DOUBLE ELSE 0.0 END AS seg_young,
+           CASE WHEN est_age >= 55 THEN 1.0::DOUBLE ELSE 0.0 END AS seg_senior,
+           CASE WHEN est_income_code >= 20 THEN 1.0::DOUBLE ELSE 0.0 END AS seg_high_income FROM residual)"""
+_TERMS = ["t_res", *[f"t_res * seg_{name}" for name in E.SEGMENTS]]
+
+
+def _result_row_sql(source: str = "flagged") -> str:
+    """The 24 columns from residuals: least squares, Student's t, rank sums, limits."""
+    parts = ", ".join(
+        f"ROUND((SELECT b FROM part_p WHERE j = 0) + (SELECT b FROM part_p WHERE j = {j}), 9) AS cate_{name}, "
+        f"ROUND((SELECT p FROM part_p WHERE j = {j}), 9) AS cate_{name}_p_value"
+        for j, name in enumerate(E.SEGMENTS, 1)
+    )
+    return f""",
+  {O.least_squares(source, "y_res", _TERMS[:1], "mean")}, {O.p_values("mean_fit", "mean")},
+  {O.least_squares(source, "y_res", _TERMS, "part")}, {O.p_values("part_fit", "part")},
+  ranked AS (SELECT treatment, RANK() OVER (ORDER BY t_score) + (COUNT(*) OVER (PARTITION BY t_score) - 1) / 2.0 AS r
+             FROM {source}),
   auc AS (SELECT (SUM(r) - COUNT(*) * (COUNT(*) + 1) / 2.0) / COUNT(*) / (SELECT COUNT(*) FROM ranked WHERE treatment = 0)
             AS treatment_auc FROM ranked WHERE treatment = 1),
-  fit AS (SELECT regr_slope(y_res, t_res) AS effect, COUNT(*) AS n, SUM(CAST(treatment AS DOUBLE)) AS treated,
-           sqrt((regr_syy(y_res, t_res) - regr_sxy(y_res, t_res) ** 2 / regr_sxx(y_res, t_res))
-                / (regr_count(y_res, t_res) - 2) / regr_sxx(y_res, t_res)) AS se,
-           AVG(post_campaign_total_order_value) FILTER (treatment = 1) AS amount,
-           1 - SUM(y_res ** 2) / (VAR_POP(post_campaign_total_order_value) * COUNT(*)) AS r2 FROM residual)
-  SELECT ROUND(effect, 6) AS incremental_lift, ROUND(effect / (amount - effect) * 100, 6) AS lift_percent,
-         ROUND(amount, 6) AS avg_treatment_amount, ROUND(amount - effect, 6) AS expected_amount, n AS total_row_count,
-         treated AS treated_count, ROUND(r2, 6) AS outcome_r2, ROUND(treatment_auc, 6) AS treatment_auc,
-         ROUND((effect - 1.96 * se) / (amount - effect) * 100, 6) AS lift_pct_ci_lower,
-         ROUND((effect + 1.96 * se) / (amount - effect) * 100, 6) AS lift_pct_ci_upper,
-         ROUND(effect - 1.96 * se, 6) AS lift_ci_lower, ROUND(effect + 1.96 * se, 6) AS lift_ci_upper,
-         CAST(24 AS INTEGER) AS columns_in_row FROM fit, auc"""))
+  fit AS (SELECT COUNT(*) AS n, SUM(CAST(treatment AS DOUBLE)) AS treated,
+                 AVG(post_campaign_total_order_value) FILTER (treatment = 1) AS amount,
+                 1 - SUM(y_res ** 2) / (VAR_POP(post_campaign_total_order_value) * COUNT(*)) AS r2 FROM {source}),
+  effect AS (SELECT b AS effect, e AS se, p FROM mean_p)
+  SELECT ROUND(effect, 9) AS incremental_lift, ROUND(effect / (amount - effect) * 100, 9) AS lift_percent,
+         ROUND(amount, 9) AS avg_treatment_amount, ROUND(amount - effect, 9) AS expected_amount, n AS total_row_count,
+         treated AS treated_count, ROUND(r2, 9) AS outcome_r2, ROUND(treatment_auc, 9) AS treatment_auc,
+         ROUND((effect - 1.96 * se) / (amount - effect) * 100, 9) AS lift_pct_ci_lower,
+         ROUND((effect + 1.96 * se) / (amount - effect) * 100, 9) AS lift_pct_ci_upper,
+         ROUND(effect - 1.96 * se, 9) AS lift_ci_lower, ROUND(effect + 1.96 * se, 9) AS lift_ci_upper,
+         ROUND(p, 9) AS lift_p_value, ROUND((SELECT b FROM part_p WHERE j = 0), 9) AS ate_base, {parts}
+  FROM fit, auc, effect"""
+
+
+@query(O.chain(("residual",), _SEGMENT_FLAGS + _result_row_sql()))
 def result_row(spark, folder):
-    """The result row from predictions that SQL can compute, without p-values and segment effects."""
-    row = E.lift_summary(_predicted(spark, folder), CONFIG)
-    return rounded(row.select(*row.columns[:12], F.lit(len(row.columns)).alias("columns_in_row")))
+    """The whole result row from predictions that SQL can compute."""
+    return rounded(E.lift_summary(_predicted(spark, folder), CONFIG), 9)
+
+
+@query(O.chain(("orders_segmented",), f""",
+  {O.least_squares("orders_segmented", "y_res", _TERMS, "part")}, {O.p_values("part_fit", "part")}
+  SELECT ['base', {", ".join(f"'{n}'" for n in E.SEGMENTS)}][j + 1] AS term, ROUND(b, 9) AS change, ROUND(e, 9) AS standard_error,
+         ROUND(p, 9) AS p_value FROM part_p"""))
+def segment_p_values(spark, folder):
+    """Slopes, errors and p-values of the segments on orders, where none follows from the others."""
+    df = run_sql(spark, f"SELECT {_SEGMENTED} FROM @orders", {"orders": spark.read.parquet(f"{folder}/orders.parquet")})
+    row = fitted(df.agg(*cross_products(F.col("y_res"), E.segment_terms(), "part")), {"part": len(_TERMS)})
+    names = F.array(*[F.lit(n) for n in ("base", *E.SEGMENTS)])
+    parts = [c.alias(n) for c, n in zip((names, *[F.col(f"part_{p}") for p in "bep"]), ("term", "change", "standard_error", "p_value"))]
+    return rounded(row.select(F.inline(F.arrays_zip(*parts))), 9)
 
 
 @query(O.chain(("stratified",), """
@@ -747,19 +782,136 @@ def estimates_compared(spark, folder):
     return rounded(D.compare_estimates({"everybody": E.fit_statistics(df), "buyers": E.fit_statistics(buyers)}))
 
 
-# ---- fitted models: no SQL equivalent --------------------------------------------------------
+# ---- fitted models ---------------------------------------------------------------------------
 
 
-@query()
+_SAMPLE = """CAST('0x' || substr(md5(addressLink || ':42'), 1, 15) AS BIGINT) <
+    (SELECT CAST(FLOOR(CAST(2 * COUNT(*) FILTER (treatment = 1) AS DOUBLE) / COUNT(*) FILTER (treatment = 0)
+                       * 1152921504606846976) AS BIGINT) FROM eligible_exact)"""
+O.propensity(S.PROPENSITY_NUMERIC, S.PROPENSITY_CATEGORICAL, M.PROPENSITY_RIDGE, _SAMPLE)
+_PROPENSITY_NAMES = [*S.PROPENSITY_NUMERIC, *[f"{c}_index" for c in S.PROPENSITY_CATEGORICAL]]
+
+
+@query(O.chain(("propensity_weights", "propensity_scales"), f"""
+  SELECT 'logistic' AS kind, [{", ".join(f"'{n}'" for n in _PROPENSITY_NAMES)}, '(intercept)'][j] AS feature,
+         ROUND(CASE WHEN j > {len(_PROPENSITY_NAMES)} THEN w[j] - list_sum(list_transform(range(1, j), lambda k:
+                      CASE WHEN deviation[k] > 0 THEN w[k] * mean[k] / deviation[k] ELSE 0 END))
+                    WHEN deviation[j] > 0 THEN w[j] / deviation[j] ELSE 0 END, 6) AS coefficient
+  FROM propensity_weights, propensity_scales, (SELECT unnest(range(1, {len(_PROPENSITY_NAMES) + 2})) AS j)"""))
+def propensity_coefficients(spark, folder):
+    """The fitted propensity model, which SQL fits again by another method."""
+    _, fit = M.propensity_fit(written(spark, folder, "AllFeatures"), CONFIG)
+    return rounded(N.coefficient_table(spark, [fit], _PROPENSITY_NAMES).drop("fold"))
+
+
+_SCORED_MATCH = """
+  , limited AS (SELECT * EXCLUDE (raw), CASE WHEN raw > 0.95 THEN 0.95 WHEN raw < 0.05 THEN 0.05 ELSE raw END AS propensity_score
+                FROM propensity_scored WHERE {where}),
+  ranked AS (
+    SELECT *, SUM(treatment) OVER (PARTITION BY bin) AS in_bin,
+           ROW_NUMBER() OVER (PARTITION BY bin, treatment ORDER BY md5(addressLink), addressLink) AS arm_rank
+    FROM (SELECT *, CAST(floor(propensity_score / 0.01) AS INT) AS bin FROM limited)),
+  matched AS (
+    SELECT *, CASE WHEN treatment = 1 THEN 'treatment' ELSE 'matched_control' END AS treatment_group, CAST(1 AS BIGINT) AS sampled_unit,
+           CASE WHEN treatment = 0 THEN arm_rank END AS stratum_rank, CASE WHEN treatment = 1 THEN addressLink END AS treatment_addresslinks,
+           CASE WHEN treatment = 0 THEN addressLink END AS candidate_control_addresslinks
+    FROM ranked WHERE treatment = 1 OR arm_rank <= in_bin)"""
+
+
+@query(O.chain(("propensity_scored",), _SCORED_MATCH.format(where="true") + f" SELECT {rounded_sql(S.PROPENSITY_MATCHED)} FROM matched"))
 def propensity_match(spark, folder):
     """Fitted propensity scores and the match on them."""
-    return M.propensity_match(M.propensity_scores(written(spark, folder, "AllFeatures"), CONFIG), CONFIG)
+    return rounded(M.propensity_match(M.propensity_scores(written(spark, folder, "AllFeatures"), CONFIG), CONFIG))
 
 
-@query()
+@query(O.chain(("propensity_scored",), _SCORED_MATCH.format(where="raw BETWEEN 0.05 AND 0.95")
+       + f" SELECT {rounded_sql(S.PROPENSITY_MATCHED)} FROM matched"))
 def propensity_match_trimmed(spark, folder):
     """The same without households beyond the score limits."""
-    return M.propensity_match(M.propensity_scores(written(spark, folder, "AllFeatures"), CONFIG, trim=True), CONFIG)
+    scored = M.propensity_scores(written(spark, folder, "AllFeatures"), CONFIG, trim=True)
+    return rounded(M.propensity_match(scored, CONFIG))
+
+
+@query(O.chain(("modelled",), O.first_trees(
+    E.TREES.numeric(E.TOTAL_OUTCOME), list(E.TREES.categorical), E.TREES.capped_columns(E.TOTAL_OUTCOME), E.TREES.tree_rows,
+    E.TREES.tree_depth, E.TREES.tree_bins)))
+def first_trees(spark, folder):
+    """All splits and leaves of the first tree of every fold and target."""
+    learner = replace(E.TREES, tree_iterations=1)
+    design = E.design_matrix(written(spark, folder, "StratifiedFeatures"), learner, CONFIG, E.TOTAL_OUTCOME)
+    binned, settings = B.binned_rows(design, learner, CONFIG)
+    nodes = B.tree_table(binned, B.boosted_trees(binned, settings))
+    names = F.array(*[F.lit(n) for n in B.feature_names(design)])
+    ensemble = F.element_at(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(f).alias("f")) for t, f in settings.ensembles]), F.col("ensemble") + 1)
+    nominal = F.col("feature").isin(*settings.nominal)
+    return rounded(
+        nodes.select(
+            ensemble["t"].alias("target"),
+            ensemble["f"].alias("fold"),
+            "node",
+            F.when(F.col("feature") >= 0, F.element_at(names, F.col("feature") + 1)).alias("feature"),
+            F.when(
+                F.col("feature") >= 0,
+                F.when(nominal, F.array_join("left", ",")).otherwise(F.array_max("left").cast("string")),
+            ).alias("left_bins"),
+            "rows",
+            "value",
+        )
+    )
+
+
+def _equations(spark, folder, matched: str, kind: str):
+    """Estimating equations of the published coefficients, by fold and feature, from the rows themselves."""
+    design = E.design_matrix(written(spark, folder, matched), E.LINEAR, CONFIG, E.TOTAL_OUTCOME)
+    names = B.feature_names(design)
+    fits = E.linear_fits(design, E.LINEAR, CONFIG)
+    published = N.coefficient_table(spark, fits, names).where(F.col("kind") == kind)
+    models = published.groupBy("fold").agg(
+        F.map_from_entries(F.collect_list(F.struct("feature", "coefficient"))).alias("model")
+    )
+    rows = design.withColumn("x", vector_to_array("features")).withColumnRenamed("fold", "own_fold")
+    rows = rows.join(F.broadcast(models), F.col("own_fold") != F.col("fold"))  # a row trains every model but its fold's
+    eta = sum((F.col("x")[j] * F.col("model")[n] for j, n in enumerate(names)), F.col("model")["(intercept)"])
+    return rows.withColumn("eta", eta), names
+
+
+def _by_feature(rows, names, residual, more=()):
+    """Mean product of a residual with every feature, in units of the feature's largest value, by fold."""
+    tops = [F.greatest(F.max(F.abs(F.col("x")[j])), F.lit(1.0)) for j in range(len(names))]
+    products = [F.avg(residual * F.col("x")[j]) / tops[j] for j in range(len(names))]
+    terms = [F.struct(F.lit(n).alias("feature"), p.alias("value")) for n, p in [*zip(names, products), ("(intercept)", F.avg(residual)), *more]]
+    return rows.groupBy("fold").agg(F.array(*terms).alias("terms")).select("fold", F.inline("terms"))
+
+
+_EQUATION_ROWS = f"""SELECT CAST(fold AS INTEGER) AS fold, feature, 0.0::DOUBLE AS value
+  FROM (SELECT unnest(range(5)) AS fold), (SELECT unnest([{", ".join(f"'{n}'" for n in E.LINEAR.numeric(E.TOTAL_OUTCOME))},
+    {", ".join(f"'{c}_index'" for c in E.LINEAR.categorical)}, '(intercept)'{{more}}]) AS feature)"""
+
+
+@query(_EQUATION_ROWS.format(more=", '(scale)'"))
+def huber_equations(spark, folder):
+    """The outcome models of the strata match: their published slopes and scale solve the estimating equations."""
+    rows, names = _equations(spark, folder, "StratifiedFeatures", N.HUBER)
+    z = (F.col("post_campaign_total_order_value") - F.col("eta")) / F.col("model")["(scale)"]
+    limited = F.greatest(F.least(z, F.lit(E.LINEAR.epsilon)), F.lit(-E.LINEAR.epsilon))
+    found = _by_feature(rows, names, limited, [("(scale)", F.avg(limited * limited) - 1)])
+    return found.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
+@query(_EQUATION_ROWS.format(more=""))
+def treatment_equations(spark, folder):
+    """The treatment models of the strata match: the gradient of the penalised likelihood vanishes."""
+    rows, names = _equations(spark, folder, "StratifiedFeatures", N.LOGISTIC)
+    residual = 1.0 / (1.0 + F.exp(-F.col("eta"))) - F.col("treatment")
+    tops = [F.greatest(F.max(F.abs(F.col("x")[j])), F.lit(1.0)) for j in range(len(names))]
+    penalty = [E.LINEAR.ridge * F.var_samp(F.col("x")[j]) * F.first("model")[n] for j, n in enumerate(names)]
+    products = [(F.avg(residual * F.col("x")[j]) + penalty[j]) / tops[j] for j in range(len(names))]
+    terms = [F.struct(F.lit(n).alias("feature"), p.alias("value")) for n, p in [*zip(names, products), ("(intercept)", F.avg(residual))]]
+    found = rows.groupBy("fold").agg(F.array(*terms).alias("terms")).select("fold", F.inline("terms"))
+    return found.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
+# ---- whole estimates: no SQL equivalent ------------------------------------------------------
 
 
 @query()

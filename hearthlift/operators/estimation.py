@@ -5,17 +5,10 @@ from __future__ import annotations
 import logging
 import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import inheritable_thread_target
-from pyspark.errors import UnsupportedOperationException
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +17,11 @@ from hearthlift.config import CampaignConfig
 from hearthlift.functions.hashing import hash_bucket
 from hearthlift.functions.labels import estimated_age, estimated_income_code, majority_gender, ordinal
 from hearthlift.functions.values import capped, clipped, flag
+from hearthlift.operators import boosting, newton
 from hearthlift.operators.conform import conform, with_baseline_flag
+from hearthlift.operators.least_squares import cross_products, fitted
 from hearthlift.operators.matching import assemble
+from hearthlift.operators.ranking import area_under_curve
 from hearthlift.sources.staging import stage
 
 log = logging.getLogger(__name__)
@@ -105,11 +101,15 @@ class Learner:
 
     kind: str = "linear"
     exposure_features: bool = False
-    # Iterations, depth, step and row share of the boosted trees.
+    # Iterations, depth, step, row share and bins of the boosted trees.
     tree_iterations: int = 50
     tree_depth: int = 5
     tree_step: float = 0.1
     tree_rows: float = 0.8
+    tree_bins: int = 32
+    # Ridge weight of the treatment model, and where the outcome model's loss turns linear.
+    ridge: float = 0.1
+    epsilon: float = 1.35
 
     def __post_init__(self):
         if self.kind not in ("linear", "trees"):
@@ -140,32 +140,7 @@ class Learner:
             names.append("baseline_campaign_product_revenue")
         return [name for name in names if name not in OUTCOME_PARTS.get(outcome, ())]
 
-    def outcome_model(self, seed: int, labels: int = 0):
-        """`labels`: the largest number of labels of any categorical feature."""
-        label = {"labelCol": "post_campaign_total_order_value", "predictionCol": "y_hat"}
-        if self.kind == "linear":
-            return LinearRegression(**label, loss="huber", epsilon=1.35, maxIter=10, tol=1e-3)
-        return GBTRegressor(**label, lossType="absolute", **self._boosting(seed, labels))
-
-    def treatment_model(self, seed: int, labels: int = 0):
-        label = {"labelCol": "treatment", "predictionCol": "t_predicted"}
-        if self.kind == "linear":
-            return LogisticRegression(**label, regParam=0.1, maxIter=10, tol=1e-3)
-        return GBTClassifier(**label, **self._boosting(seed, labels))
-
-    def _boosting(self, seed: int, labels: int) -> dict:
-        return {
-            "maxBins": max(32, labels),  # a split looks at every label
-            "maxIter": self.tree_iterations,
-            "maxDepth": self.tree_depth,
-            "stepSize": self.tree_step,
-            "subsamplingRate": self.tree_rows,
-            "featureSubsetStrategy": "auto",  # for boosting: every feature
-            "seed": seed,
-        }
-
 
-ROWS_PER_FITTING_TASK = 50_000
 SKETCH_ACCURACY = 10_000
 PARTS = 1_000
 
@@ -334,48 +309,43 @@ def design_matrix(matched: DataFrame, learner: Learner, config: CampaignConfig,
     return stage(design, "design", ["fold"])
 
 
-def largest_label_count(design: DataFrame) -> int:
-    """Labels of the categorical feature that has most, from what the indexer left in the schema."""
-    attributes = design.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    return max((len(a.get("vals", ())) for a in attributes.get("nominal", ())), default=0)
+def linear_fits(design: DataFrame, learner: Learner, config: CampaignConfig) -> list[newton.Solution]:
+    """The outcome and the treatment model of every fold, fitted on the rows outside it, all in the same passes."""
+    rows = design.select("fold", "treatment", "post_campaign_total_order_value", vector_to_array("features").alias("features"))
+    problems = [
+        problem
+        for fold in range(config.folds)
+        for problem in (
+            newton.Problem(newton.HUBER, "post_campaign_total_order_value", fold, epsilon=learner.epsilon),
+            newton.Problem(newton.LOGISTIC, "treatment", fold, learner.ridge),
+        )
+    ]
+    return newton.solve(rows, problems, len(boosting.feature_names(design)))
 
 
-def cross_fit(design: DataFrame, learner: Learner, config: CampaignConfig) -> DataFrame:
-    """Written table of out-of-fold predictions `y_hat` and `t_score`.
+def linear_predictions(design: DataFrame, fits: Sequence[newton.Solution]) -> DataFrame:
+    """Every row with `y_hat` and `t_score` by the models of its own fold."""
+    df = design.withColumn("features", vector_to_array("features"))
 
-    Folds are folders of the design table, so each model reads just its own rows and every row is
-    scored once. The fits do not depend on each other and are submitted side by side.
-    """
+    def by_fold(kind: str) -> Column:
+        cases = [
+            (F.col("fold") == s.problem.fold, s.linear(F.col("features"))) for s in fits if s.problem.kind == kind and s.rows
+        ]
+        return reduce(lambda rest, case: F.when(*case).otherwise(rest), cases, F.lit(None).cast("double"))
 
-    # Boosting runs hundreds of short jobs per fit, so small tables are read in few tasks.
-    tasks_wanted = -(-design.count() // ROWS_PER_FITTING_TASK) or 1
+    score = 1.0 / (1.0 + F.exp(-by_fold(newton.LOGISTIC)))
+    return df.withColumns({"y_hat": by_fold(newton.HUBER), "t_score": score}).drop("features")
 
-    def fit(task):
-        model, fold = task
-        # Boosting draws rows by partition and position, so both follow from the households alone.
-        training = design.where(F.col("fold") != fold)
-        training = training.repartition(tasks_wanted, S.HOUSEHOLD).sortWithinPartitions(S.HOUSEHOLD)
-        return model.fit(training.drop(S.HOUSEHOLD))
 
-    tasks = [
-        (make(config.seed, largest_label_count(design)), fold)
-        for fold in range(config.folds)
-        for make in (learner.outcome_model, learner.treatment_model)
-    ]
-    with ThreadPoolExecutor(max_workers=config.parallel_fits) as pool:
-        target = inheritable_thread_target(design.sparkSession)(fit)
-        models = list(pool.map(target, tasks))
-
-    def scored(fold: int) -> DataFrame:
-        outcome_model, treatment_model = models[2 * fold : 2 * fold + 2]
-        held_out = outcome_model.transform(design.where(F.col("fold") == fold))
-        return (
-            treatment_model.transform(held_out)
-            .withColumn("t_score", vector_to_array("probability")[1])
-            .drop("features", "rawPrediction", "probability", "t_predicted")
-        )
+def cross_fit(design: DataFrame, learner: Learner, config: CampaignConfig) -> DataFrame:
+    """Written table of out-of-fold predictions `y_hat` and `t_score`.
 
-    return stage(reduce(DataFrame.unionByName, map(scored, range(config.folds))), "out-of-fold")
+    All models are fitted in passes that they share, each on the rows outside its fold, and every row is scored
+    once, by the models of its own fold."""
+    if learner.kind == "linear":
+        return stage(linear_predictions(design, linear_fits(design, learner, config)), "out-of-fold")
+    binned, settings = boosting.binned_rows(design, learner, config)
+    return stage(boosting.out_of_fold(binned, boosting.boosted_trees(binned, settings), settings), "out-of-fold")
 
 
 def residuals(predicted: DataFrame, low: float = 0.05, high: float = 0.95) -> DataFrame:
@@ -398,19 +368,15 @@ class Fit:
 
 
 def least_squares(df: DataFrame, label: str, columns: Sequence[str]) -> Fit:
-    """OLS with intercept from one pass that sums cross-products on the executors."""
-    assembled = VectorAssembler(inputCols=list(columns), outputCol="_x", handleInvalid="skip").transform(
-        df.select(label, *columns)
-    )
-    model = LinearRegression(labelCol=label, featuresCol="_x", solver="normal").fit(assembled)
-    size = len(columns)
-    try:
-        errors = list(model.summary.coefficientStandardErrors)[:size]
-        p_values = list(model.summary.pValues)[:size]
-    except UnsupportedOperationException:
-        log.warning("no standard errors: the columns %s are collinear", ", ".join(columns))
-        errors, p_values = [None] * size, [None] * size
-    return Fit([float(c) for c in model.coefficients], errors, p_values)
+    """OLS with intercept from one aggregation of centred products."""
+    sums = df.agg(*cross_products(F.col(label), [F.col(c) for c in columns], "fit"))
+    row = fitted(sums, {"fit": len(columns)}).first()
+    return Fit(row["fit_b"], row["fit_e"], row["fit_p"])
+
+
+def segment_terms() -> list[Column]:
+    """The treatment residual, and its product with every segment."""
+    return [F.col("t_res"), *[F.col("t_res") * F.col(f"seg_{name}") for name in SEGMENTS]]
 
 
 def residual_effect(df: DataFrame) -> Fit:
@@ -419,24 +385,39 @@ def residual_effect(df: DataFrame) -> Fit:
 
 
 def segment_effects(df: DataFrame) -> Fit:
-    """Base effect and its change per segment, from interactions of the treatment residual."""
-    products = {f"_t_{name}": F.col("t_res") * F.col(f"seg_{name}") for name in SEGMENTS}
+    """Base effect and its change per segment, from interactions of the treatment residual.
+
+    A segment that follows from the earlier ones changes nothing."""
+    products = {f"_t_{name}": term for name, term in zip(SEGMENTS, segment_terms()[1:], strict=True)}
     return least_squares(df.withColumns(products), "y_res", ["t_res", *products])
 
 
-def fit_statistics(df: DataFrame) -> DataFrame:
-    """One row: row and treated counts, mean outcome of the treated, R² of the outcome predictions."""
+def effect_row(df: DataFrame) -> DataFrame:
+    """One row from one pass: statistics of the fit, average effect (`mean_b`, `_e` and `_p`, arrays of one) and
+    segment effects (`part_b`: the base, then the changes; `_e` and `_p` alike)."""
+    terms = segment_terms()
+    sums = [*cross_products(F.col("y_res"), terms[:1], "mean"), *cross_products(F.col("y_res"), terms, "part")]
+    return fitted(df.agg(*statistics(), *sums), {"mean": 1, "part": len(terms)})
+
+
+def statistics() -> list[Column]:
+    """Aggregates: row and treated counts, mean outcome of the treated, R² of the outcome predictions."""
     y, treated = F.col("post_campaign_total_order_value"), F.col("treatment") == 1
-    return df.agg(
+    return [
         F.count("*").alias("total_row_count"),
         F.sum(F.col("treatment").cast("double")).alias("treated_count"),
         F.avg(F.when(treated, y)).alias("avg_treatment_amount"),
         (1 - F.sum((y - F.col("y_hat")) ** 2) / F.nullif(F.var_pop(y) * F.count(y), F.lit(0.0))).alias("outcome_r2"),
-    )
+    ]
+
+
+def fit_statistics(df: DataFrame) -> DataFrame:
+    return df.agg(*statistics())
 
 
-def treatment_auc(df: DataFrame, score: str = "t_score") -> float:
-    return BinaryClassificationEvaluator(labelCol="treatment", rawPredictionCol=score, numBins=0).evaluate(df)
+def treatment_auc(df: DataFrame, score: str = "t_score") -> DataFrame:
+    """One row with `treatment_auc`."""
+    return area_under_curve(df, "treatment", score).withColumnRenamed("auc", "treatment_auc")
 
 
 def lift_columns(effect: Column, error: Column, treated_mean: Column) -> dict[str, Column]:
@@ -456,26 +437,19 @@ def lift_columns(effect: Column, error: Column, treated_mean: Column) -> dict[st
 def lift_summary(predicted: DataFrame, config: CampaignConfig) -> DataFrame:
     """The 24-column result row from out-of-fold predictions."""
     df = residuals(predicted, config.score_floor, config.score_ceiling)
-    average, segments = residual_effect(df), segment_effects(df)
-    base, *changes = segments.coefficients
-
-    def number(value: float | None) -> Column:
-        return F.lit(value).cast("double")
-
-    row = fit_statistics(df).withColumns(
+    base = F.col("part_b")[0]
+    row = effect_row(df).withColumns(
         {
             "avg_treatment_amount": F.coalesce(F.col("avg_treatment_amount"), F.lit(0.0)),
-            "treatment_auc": number(treatment_auc(df)),
-            "incremental_lift": number(average.coefficients[0]),
-            "lift_p_value": number(average.p_values[0]),
-            "ate_base": number(base),
-            **{f"cate_{name}": number(base + change) for name, change in zip(SEGMENTS, changes)},
-            **{f"cate_{name}_p_value": number(p) for name, p in zip(SEGMENTS, segments.p_values[1:])},
+            "treatment_auc": F.lit(treatment_auc(df).first()[0]).cast("double"),
+            "incremental_lift": F.col("mean_b")[0],
+            "lift_p_value": F.col("mean_p")[0],
+            "ate_base": base,
+            **{f"cate_{name}": base + F.col("part_b")[j] for j, name in enumerate(SEGMENTS, 1)},
+            **{f"cate_{name}_p_value": F.col("part_p")[j] for j, name in enumerate(SEGMENTS, 1)},
         }
     )
-    lift = lift_columns(
-        F.col("incremental_lift"), number(average.standard_errors[0]), F.col("avg_treatment_amount")
-    )
+    lift = lift_columns(F.col("incremental_lift"), F.col("mean_e")[0], F.col("avg_treatment_amount"))
     return row.withColumns(lift).select(*[F.col(f.name).cast(f.dataType) for f in S.LIFT_SUMMARY.fields])
 
 

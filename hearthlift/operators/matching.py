@@ -6,8 +6,6 @@ import logging
 from functools import reduce
 from operator import or_
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -17,8 +15,9 @@ from hearthlift import schemas as S
 from hearthlift.config import CampaignConfig
 from hearthlift.functions.hashing import sampled
 from hearthlift.functions.values import caliper_bin, clipped, filled_text, has_text
+from hearthlift.operators import newton
 from hearthlift.operators.conform import conform, filled, typed
-from hearthlift.operators.ranking import match_one_to_one
+from hearthlift.operators.ranking import area_under_curve, match_one_to_one
 from hearthlift.sources.staging import stage
 
 log = logging.getLogger(__name__)
@@ -120,24 +119,35 @@ def rebalanced(matrix: DataFrame, config: CampaignConfig) -> DataFrame:
     return matrix.where(is_treated() | keep)
 
 
+# Fixed value: ridge weight of the propensity model.
+PROPENSITY_RIDGE = 0.1
+
+
+def propensity_fit(features: DataFrame, config: CampaignConfig) -> tuple[DataFrame, newton.Solution]:
+    """Eligible households with the vector of their features, and the model fitted on the rebalanced sample."""
+    eligible = eligible_households(features).withColumn("treatment", F.col("treatment").cast("int"))
+    matrix = propensity_matrix(eligible)
+    sample = rebalanced(matrix, config).select("treatment", vector_to_array("features").alias("features"), F.lit(0).alias("fold"))
+    width = len(S.PROPENSITY_NUMERIC) + len(S.PROPENSITY_CATEGORICAL)
+    problem = newton.Problem(newton.LOGISTIC, "treatment", ridge=PROPENSITY_RIDGE)
+    return matrix, newton.solve(stage(sample, "propensity-sample"), [problem], width)[0]
+
+
 def propensity_scores(features: DataFrame, config: CampaignConfig, trim: bool = False) -> DataFrame:
     """Eligible households with `propensity_score_raw` and the clipped `propensity_score`.
 
-    The model is fitted on the rebalanced sample and scores everybody. `trim` drops households
-    outside the clipping limits instead of moving them to the limits. Reads `features` four times
-    (labels, arm sizes, fit, scoring): pass a written table. The result is a written table too.
+    The model is fitted on the rebalanced sample, which is written for its steps, and scores everybody. `trim`
+    drops households outside the clipping limits instead of moving them to the limits. Reads `features` four
+    times (labels, arm sizes, sample, scoring): pass a written table. The result is a written table too.
     """
-    # Ridge weight, iterations and tolerance of the propensity model.
-    model = LogisticRegression(labelCol="treatment", regParam=0.1, elasticNetParam=0.0, maxIter=200, tol=1e-6)
-    eligible = eligible_households(features).withColumn("treatment", F.col("treatment").cast("int"))
-    matrix = propensity_matrix(eligible)
-    fitted = model.fit(rebalanced(matrix, config).select("treatment", "features"))
-    scored = fitted.transform(matrix).withColumn("propensity_score_raw", vector_to_array("probability")[1])
+    matrix, fit = propensity_fit(features, config)
+    score = 1.0 / (1.0 + F.exp(-fit.linear(vector_to_array("features"))))
+    scored = matrix.withColumn("propensity_score_raw", score)
     raw = F.col("propensity_score_raw")
     if trim:
         scored = scored.where(raw.between(config.score_floor, config.score_ceiling))
     scored = scored.withColumn("propensity_score", clipped(raw, config.score_floor, config.score_ceiling))
-    return stage(scored.drop("features", "rawPrediction", "probability", "prediction"), "propensity-scores")
+    return stage(scored.drop("features"), "propensity-scores")
 
 
 def caliper_match(scored: DataFrame, config: CampaignConfig) -> DataFrame:
@@ -167,12 +177,9 @@ def propensity_match(scored: DataFrame, config: CampaignConfig) -> DataFrame:
     )
 
 
-def propensity_auc(scored: DataFrame) -> float:
+def propensity_auc(scored: DataFrame) -> float | None:
     """Area under the ROC curve of the unclipped score on all eligible households."""
-    evaluator = BinaryClassificationEvaluator(
-        labelCol="treatment", rawPredictionCol="propensity_score_raw", numBins=0
-    )
-    return evaluator.evaluate(scored)
+    return area_under_curve(scored, "treatment", "propensity_score_raw").first()[0]
 
 
 def in_report_order(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from hearthlift.sources.staging import stage
 
 # Rows of the slice table up to which it is broadcast, some tens of megabytes.
 BROADCAST_SLICES = 500_000
+SCORE_SLICES = 4_096
 
 
 def first_per_key(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
@@ -81,3 +82,29 @@ def _slice_starts(sliced: DataFrame, groups: Sequence[str], treatment: str) -> D
     )
     needed = is_treated | (F.col("_before") < F.col("group_treated"))
     return starts.where((F.col("group_treated") > 0) & needed)
+
+
+def area_under_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+    """One row, `auc`: the share of pairs of a positive and a negative row in which the positive one has the higher
+    score, ties half; null if there are no such pairs. Rows without a score count nowhere.
+
+    Rows are counted per distinct score before anything is sorted, and counts are added up within slices of the
+    scores' range, then over the slices, so that no task sorts all scores. Exact, since all counts are whole."""
+    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("positive"), F.count_if(F.col(label) != 1).alias("negative")
+    )
+    counts = stage(counts, "score-counts")
+    ends = counts.agg(F.min("score").alias("low"), F.max("score").alias("high"))
+    part = (F.col("score") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0)) * SCORE_SLICES
+    sliced = counts.join(F.broadcast(ends)).withColumn("slice", F.coalesce(F.floor(part), F.lit(0)))  # one row
+    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sliced.groupBy("slice").agg(F.sum("negative").alias("own")).select(
+        "slice", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("below")
+    )
+    within = Window.partitionBy("slice").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.col("below") + F.coalesce(F.sum("negative").over(within), F.lit(0))
+    pairs = F.col("positive") * (2 * F.col("lower") + F.col("negative"))  # twice the pairs won
+    ranked = sliced.join(F.broadcast(starts), "slice").withColumn("lower", lower)  # a row a slice
+    total = F.sum("positive") * F.sum("negative")
+    won = F.sum(pairs.cast("decimal(38,0)")).cast("double")
+    return ranked.agg((won / F.nullif(2.0 * total, F.lit(0.0))).alias("auc"))
