@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from hearthlift.llm.common import byte_strings, map_arrow, read, stage
 
 BEST = 10
-BLOCK = 4096
+BLOCK = 1024
 # Characters of queries that are searched for at once; more are dealt by hash into several passes.
 LOG_CHARACTERS = 16_000_000
 # Every byte as a term has it, lower-cased, or a space.

@@ -82,7 +82,7 @@ def many():
     return docs, items
 
 
-@pytest.mark.parametrize("block", [16, 300, 4096])
+@pytest.mark.parametrize("block", [16, 300, 1024])
 def test_same_as_scoring_everything(spark, shared_folder, many, monkeypatch, block):
     build = pair_search.index_blocks
     monkeypatch.setattr(pair_search, "index_blocks", lambda *a: build(*a, block=block))
