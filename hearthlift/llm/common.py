@@ -95,9 +95,29 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the folders of a written table of this run that nothing will read any more."""
+    spark = table.sparkSession
+    root = staging_root(spark).split(":", 1)[-1].lstrip("/")
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        if root in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, longer if the table has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 __all__ = [
     "ASCII_UPPER",
     "byte_strings",
+    "discard",
+    "free_name",
     "held_out",
     "map_arrow",
     "mixed",

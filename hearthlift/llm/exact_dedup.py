@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlift.llm.common import byte_strings, map_arrow, read, stage, text_slices
+from hearthlift.llm.common import byte_strings, free_name, map_arrow, read, stage, text_slices
 
 # Ranges of fingerprints: a power of two, so that a range is the leading bits of the quotient.
 RANGE_BITS = 7
@@ -213,21 +213,21 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
+    """The rows of `docs` that stay, with all their columns, which may have any names: those needed here take
+    names that are free."""
     decided = stage(exact_groups(docs, id_column, text_column), "exact-groups")
-    lost = decided.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    # A text's digest is only made for rows whose id is among the lost ones.
-    ids = lost.select("_id").distinct()
-    same_id = F.col(id_column).eqNullSafe(F.col("_id"))
-    names = docs.columns
+    key, sha, own = (free_name(docs, n) for n in ("id", "sha256", "own_sha256"))
+    same_id = F.col(f"`{id_column}`").eqNullSafe(F.col(key))
+    names = [f"`{c}`" for c in docs.columns]
     twice = decided.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
     if not twice:  # an id stands for one row, so ids alone decide
-        return docs.join(ids, same_id, "left_anti").select(*names)
-    lower = F.translate(F.coalesce(text_column, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    kept = decided.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_own", F.sha2(lower.cast("binary"), 256))
-    same = same_id & (F.col("_own") == F.col("_sha"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([id_column, "_own"]).select(*names)
+        lost = decided.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
+        return docs.join(lost, same_id, "left_anti").select(*names)
+    lower = F.translate(F.coalesce(F.col(f"`{text_column}`"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    kept = decided.where("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(sha))
+    marked = docs.withColumn(own, F.sha2(lower.cast("binary"), 256))
+    same = same_id & (F.col(own) == F.col(sha))
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_column, own]).select(*names)
 
 
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

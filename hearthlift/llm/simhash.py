@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlift.llm.common import byte_strings, map_arrow, read, stage
+from hearthlift.llm.common import byte_strings, free_name, map_arrow, read, stage
 from hearthlift.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -194,13 +194,14 @@ def near_duplicate_groups(
 
 
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is the smallest of their component, with all columns.
+    """The rows of `docs` whose id is the smallest of their component, with all columns, which may have any names.
 
     Rows that share an id, or have none, go only if none of them is to stay."""
     groups = near_duplicate_groups(docs, id_column, text_column)
+    key = free_name(docs, "id")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    lost = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.max(stays).alias("_stays")).where("not _stays")
-    return docs.join(lost, F.col(id_column).eqNullSafe(F.col("_id")), "left_anti")
+    lost = groups.groupBy(F.col("doc_id").alias(key)).agg(F.max(stays).alias("stays")).where("not stays").select(key)
+    return docs.join(lost, F.col(f"`{id_column}`").eqNullSafe(F.col(key)), "left_anti")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,17 +3,20 @@
 Sparse suffix arrays. Only some suffixes are indexed, chosen by content: in every window of MATCH bytes the
 first GRAM-byte string of the smallest hash is the window's anchor. Two equal windows have their anchors at
 the same place, so no match is missed, and there is about one anchor in 185 bytes. An entry is an anchor with
-the range of window starts that lead to it (`lo` to `hi`). Entries are ordered by the hash of the anchor's
-string, then by that of all bytes in its windows; equal entries are one class with a count.
-
-The family. A new batch gets its own array. Equal-sized levels are merged before it, so that sizes grow
-geometrically and a batch meets a logarithmic number of levels. The batch is merge-scanned against each level
-(a join on the sorted key) for anchors that both have.
-
-Matches. A class of two members or more repeats in whole. For the other entries whose anchor is found in more
-classes than one, the bytes around the anchors are fetched, and every window start is decided by comparing
-the MATCH bytes from it, so spans are exact to the byte. Strings are compared by 64-bit hashes, together with
-the 64-bit hash of the anchor's string that they contain.
+the range of window starts that lead to it (`lo` to `hi`), the first eight bytes of its suffix, the hash of the
+suffix's first GRAM bytes, and the hash of all bytes in its windows.
+
+The family. Texts are dealt over batches, whose number follows the counted anchors. A batch gets its own array,
+ordered by the suffixes' first eight bytes, then by the hash of the first GRAM. It is merge-scanned (a sort-merge
+join in that order) against all levels for suffixes that they have too, and then becomes a level. Two levels of
+equal size are merged before the next batch, so that sizes grow geometrically, a batch meets a logarithmic number
+of levels, and a suffix is written a logarithmic number of times; levels that have been merged are deleted.
+
+Matches. Only entries whose suffix was hit go on. Those with equal bytes in all their windows are a class, and one
+of two members or more repeats in whole. For the other entries of a suffix with several classes, the bytes around
+the anchors are fetched, every window start is looked up by the hash of its MATCH bytes, and what is found is
+compared byte by byte, so spans are exact. Members of one class, and windows of suffixes with very many
+classes, are compared by two 64-bit hashes and the eight bytes.
 """
 
 from __future__ import annotations
@@ -22,13 +25,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlift.llm.common import byte_strings, map_arrow, mixed, powers, read, stage, text_slices
+from hearthlift.llm.common import byte_strings, discard, free_name, map_arrow, mixed, powers, read, stage, text_slices
 
 MATCH, GRAM = 400, 32
-BATCHES = 3
+# Anchors of a batch, and most batches: they follow one another, so a larger corpus has larger ones.
+BATCH_ENTRIES, MOST_BATCHES, PART_ENTRIES = 1 << 19, 32, 1 << 21
 # Bytes of a text looked at in one piece; longer texts are cut into pieces that overlap.
 PIECE = 1 << 18
 POSITION_BITS = 22
@@ -37,18 +41,23 @@ POSITION_BITS = 22
 BROADCAST_NUMBERS = 4_000_000
 # Classes of one anchor up to which their bytes are compared in one task; beyond, the hashes of their window
 # starts are counted by a shuffle that collapses equal ones first. Both ways find the same.
-TASK_CLASSES = 8_000
+TASK_CLASSES = 500
 # Entries gathered in a task before they are compared, and entries hashed at once.
 GATHERED, CHUNK = 1_024, 256
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-ENTRY = "a int, lo int, hi int, kh long, ck long"
+ENTRY = "a int, lo int, hi int, lead long, kh long, ck long"
 KEY = ["doc_id", "text_hash"]
+# What a suffix is ordered and matched by.
+SUFFIX = ["lead", "kh"]
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-@lru_cache(8)
 def _tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    return powers(base, n), powers(pow(base, -1, 1 << 64), n)
+    """Powers of a base and of its inverse, one table a base."""
+    if base not in _powers or len(_powers[base][0]) < n:
+        _powers[base] = powers(base, n), powers(pow(base, -1, 1 << 64), n)
+    return _powers[base]
 
 
 @lru_cache(1)
@@ -85,7 +94,7 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(texts: list[bytes], match: int = MATCH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Text number, a, lo, hi, kh and ck of every anchor of every text."""
+    """Text number, a, lo, hi, lead, kh and ck of every anchor of every text."""
     owner, begin, parts = [], [], []
     for k, text in enumerate(texts):
         for at in range(0, max(len(text) - match + 1, 0), PIECE):
@@ -96,7 +105,7 @@ def anchors(texts: list[bytes], match: int = MATCH, gram: int = GRAM) -> tuple[n
     for x, y in text_slices(parts, PIECE):
         found.append(_piece_anchors(parts[x:y], owner[x:y], begin[x:y], match, gram))
     if not found:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (*[np.int64] * 4, *[np.uint64] * 3))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
@@ -117,9 +126,11 @@ def _piece_anchors(parts, owner, begin, match, gram):
     kh = mixed(second.of(a, a + gram)) ^ grams[a]
     around = first.of(lo, hi + match) ^ mixed(second.of(lo, hi + match))
     ck = mixed(around + mixed((a - lo).astype(np.uint64) << np.uint64(20)) + (hi - lo).astype(np.uint64))
+    # Big-endian, and with the first bit turned, so that signed numbers are in the order of the bytes.
+    lead = np.ndarray(len(data) - 7, ">u8", data, strides=(1,))[a].astype(np.uint64) ^ np.uint64(1 << 63)
     own = piece[lo]
     shift = np.array(begin)[own] - (ends - sizes)[own]
-    return np.array(owner)[own], a + shift, lo + shift, hi + shift, kh, ck
+    return np.array(owner)[own], a + shift, lo + shift, hi + shift, lead, kh, ck
 
 
 def keyed_documents(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -128,90 +139,96 @@ def keyed_documents(docs: DataFrame, id_column: str, text_column: str) -> DataFr
     return docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def indexed_anchors(keyed: DataFrame, batches: int) -> DataFrame:
-    """Anchors of every text with the number of the batch that the text belongs to."""
+def indexed_anchors(keyed: DataFrame) -> DataFrame:
+    """Anchors of every text."""
 
-    def run(batches_):
-        for batch in batches_:
-            texts = byte_strings(batch.column(3))
+    def run(batches):
+        for batch in batches:
+            texts = byte_strings(batch.column(2))
             for x, y in text_slices(texts):
                 own, *columns = anchors(texts[x:y])
                 take = pa.array(own + x)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[batch.column(k).take(take) for k in range(3)],
+                        *[batch.column(k).take(take) for k in range(2)],
                         *[pa.array(c.astype(np.int32)) for c in columns[:3]],
                         *[pa.array(c.view(np.int64)) for c in columns[3:]],
                     ],
-                    ["doc_id", "text_hash", "batch", "a", "lo", "hi", "kh", "ck"],
+                    ["doc_id", "text_hash", "a", "lo", "hi", "lead", "kh", "ck"],
                 )
 
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    number = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(batches)).cast("int").alias("batch")
-    source = keyed.select("doc_id", "text_hash", number, "text")
-    return map_arrow(source, run, f"doc_id {kind}, text_hash long, batch int, {ENTRY}")
+    return map_arrow(keyed, run, f"doc_id {kind}, text_hash long, {ENTRY}")
 
 
 class SuffixIndexFamily:
-    """Levels of sorted anchor classes in the shared folder; `add` indexes a batch and gathers what it hits.
+    """Levels of suffixes in the shared folder, each with its size in batches; `add` indexes a batch and keeps
+    the suffixes that it has twice or that a level has too.
 
-    A level has kh, ck, n (members) and one member of every class: doc_id, text_hash, a, lo, hi."""
+    A level has lead, kh and n, the number of places, in the order of the suffixes."""
 
     def __init__(self):
         self.levels: list[tuple[int, DataFrame]] = []
         self.hits: list[DataFrame] = []
 
-    def _written(self, classes: DataFrame) -> DataFrame:
-        return stage(classes.sortWithinPartitions("kh", "ck"), "suffix-level")
+    @staticmethod
+    def _written(suffixes: DataFrame) -> DataFrame:
+        return stage(suffixes.groupBy(*SUFFIX).agg(F.sum("n").alias("n")).sortWithinPartitions(*SUFFIX), "suffix-level")
 
-    def add(self, entries: DataFrame) -> None:
+    def add(self, batch: DataFrame) -> None:
+        """`batch`: lead, kh and n, also several rows a suffix."""
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, last), (_, before) = self.levels.pop(), self.levels.pop()
-            both = before.union(last).groupBy("kh", "ck").agg(F.sum("n").alias("n"), *self._member())
-            self.levels.append((2 * size, self._written(both)))
-        own = self._written(entries.groupBy("kh", "ck").agg(F.count("*").alias("n"), *self._member()))
-        seen = own.groupBy("kh").agg(F.count("*").alias("classes"))
-        self.hits.append(seen.where("classes > 1").select("kh"))
+            self.levels.append((2 * size, self._written(before.union(last))))
+            discard(last)
+            discard(before)
+        own = self._written(batch)
+        found = own.where("n > 1").select(*SUFFIX)
         for _, level in self.levels:
-            self.hits.append(seen.select("kh").join(level.select("kh"), "kh", "left_semi"))
+            found = found.union(own.select(*SUFFIX).join(level.select(*SUFFIX).hint("merge"), SUFFIX, "left_semi"))
+        self.hits.append(stage(found, "suffix-hits"))
         self.levels.append((1, own))
 
-    @staticmethod
-    def _member() -> list:
-        # All from one row, since each takes the first row it gets; any member of a class will do.
-        return [F.first(c).alias(c) for c in ("doc_id", "text_hash", "a", "lo", "hi")]
-
-    def classes(self) -> DataFrame:
-        """All classes, those found in several levels added up."""
-        frame = self.levels[0][1]
-        for _, level in self.levels[1:]:
-            frame = frame.union(level)
-        if len(self.levels) == 1:
-            return frame
-        return frame.groupBy("kh", "ck").agg(F.sum("n").alias("n"), *self._member())
-
-    def hit_anchors(self) -> DataFrame:
-        """kh of anchors that are in more classes than one, in one batch or in different ones."""
+    def hit_suffixes(self) -> DataFrame:
+        """Suffixes with more than one place, in one batch or in different ones."""
         frame = self.hits[0]
         for hit in self.hits[1:]:
             frame = frame.union(hit)
-        return frame.distinct()
+        return stage(frame.distinct(), "suffix-hits")
 
+    def discard(self) -> None:
+        for frame in (*self.hits, *[level for _, level in self.levels]):
+            discard(frame)
 
-def _sized(table: DataFrame, numbers: str) -> DataFrame:
-    """The written table, to be broadcast if counting shows that it is small. `numbers`: in a row, as SQL."""
-    held = table.agg(F.expr(f"sum(cast({numbers} as long))")).first()[0] or 0
-    return F.broadcast(table) if held <= BROADCAST_NUMBERS else table
+
+def repeated_suffixes(entries: DataFrame, batches: int, parts: int) -> DataFrame:
+    """Suffixes of the entries that have several places, by adding the batches, written in so many parts each,
+    one after the other."""
+    number = F.pmod("text_hash", F.lit(batches)).cast("int").alias("batch")
+    counted = entries.groupBy(number, *SUFFIX).agg(F.count("*").alias("n"))
+    counted = stage(counted.repartition("batch", F.pmod("kh", F.lit(parts))), "suffix-batches", ["batch"])
+    family = SuffixIndexFamily()
+    for k in range(batches):
+        family.add(counted.where(F.col("batch") == k).drop("batch"))
+    hits = family.hit_suffixes()
+    family.discard()
+    discard(counted)
+    return hits
+
+
+def _sized(table: DataFrame, numbers: int) -> DataFrame:
+    """The written table, to be broadcast if counting shows that it is small. `numbers`: in a row."""
+    return F.broadcast(table) if numbers * table.count() <= BROADCAST_NUMBERS else table
 
 
 def contexts(keyed: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges with `bytes`, the text from lo to hi + MATCH."""
+    """Edges with `bytes`, the text from lo to hi + MATCH. Texts and the edges of each are shuffled to each other
+    whatever their number."""
     lists = edges.groupBy(*[F.col(c).alias(f"_{c}") for c in KEY]).agg(
         F.collect_list(F.struct("kh", "n", "a", "lo", "hi")).alias("edges")
     )
     joined = keyed.join(
-        _sized(stage(lists, "suffix-edges"), "2 + 5 * size(edges)"),
-        F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")),
+        lists, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
     ).select("doc_id", "text_hash", "edges", "text")
     names = ["doc_id", "text_hash", "kh", "n", "a", "lo", "hi", "bytes"]
 
@@ -233,6 +250,35 @@ def contexts(keyed: DataFrame, edges: DataFrame) -> DataFrame:
     return map_arrow(joined, run, schema)
 
 
+def _equal_windows(cut: list[bytes], row: np.ndarray, inside: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether another window has the same MATCH bytes: windows of one hash are neighbours once sorted, and
+    neighbours are compared byte by byte, eight at a time."""
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    same = np.flatnonzero(ordered[1:] == ordered[:-1])
+    hit = np.zeros(len(hashes), bool)
+    if not len(same):
+        return hit
+    data = b"".join(cut)
+    sizes = np.array([len(c) for c in cut])
+    at = (np.cumsum(sizes) - sizes)[row] + inside
+    words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    steps = np.arange(0, MATCH, 8)
+    differ = np.zeros(len(same), bool)
+    for a in range(0, len(same), 2048):
+        part = same[a : a + 2048]
+        one, other = words[at[order[part]][:, None] + steps], words[at[order[part + 1]][:, None] + steps]
+        differ[a : a + 2048] = (one != other).any(axis=1)
+    hit[order[same[~differ]]] = hit[order[same[~differ] + 1]] = True
+    for k in np.unique(ordered[same[differ]]).tolist():  # different windows of one hash
+        groups: dict[bytes, list[int]] = {}
+        for w in np.flatnonzero(hashes == np.uint64(k)).tolist():
+            groups.setdefault(data[at[w] : at[w] + MATCH], []).append(w)
+        for group in groups.values():
+            hit[group] = len(group) > 1
+    return hit
+
+
 def _window_hashes(cut: list[bytes], kh: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every window start of every context: its row, its number within the row, its hash."""
     if len(cut) > CHUNK:
@@ -262,12 +308,9 @@ def _repeated_in_task(found: DataFrame, schema: str) -> DataFrame:
 
     def decide(table: pa.Table) -> pa.RecordBatch:
         kh = table.column("kh").to_numpy().view(np.uint64)
-        row, inside, hashes = _window_hashes(table.column("bytes").to_pylist(), kh)
-        order = np.argsort(hashes, kind="stable")
-        ordered = hashes[order]
-        same = ordered[1:] == ordered[:-1]
-        hit = np.zeros(len(hashes), bool)
-        hit[order[1:][same]] = hit[order[:-1][same]] = True
+        cut = table.column("bytes").to_pylist()
+        row, inside, hashes = _window_hashes(cut, kh)
+        hit = _equal_windows(cut, row, inside, hashes)
         hit &= table.column("n").to_numpy()[row] == 1
         own, a, b = _spans(row[hit], inside[hit])
         lo = table.column("lo").to_numpy()[own]
@@ -318,29 +361,40 @@ def _repeated_by_shuffle(found: DataFrame, schema: str) -> DataFrame:
     return hit.select("doc_id", "text_hash", "s", (F.col("s") + MATCH).alias("e"))
 
 
-def repeated_spans(keyed: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """doc_id, text_hash, s, e: byte ranges of strings of MATCH bytes or more found elsewhere; they may overlap."""
-    entries = stage(indexed_anchors(keyed, batches), "suffix-anchors", ["batch"])
-    family = SuffixIndexFamily()
-    for number in range(batches):
-        family.add(entries.where(F.col("batch") == number).drop("batch"))
-    hits = _sized(stage(family.hit_anchors(), "suffix-hits"), "1")
-    classes = family.classes()
-    whole = _sized(stage(classes.where("n > 1").select("kh", "ck"), "suffix-whole"), "2")
-    inside = entries.join(whole, ["kh", "ck"], "left_semi").select(
+def repeated_spans(keyed: DataFrame, batches: int | None = None) -> DataFrame:
+    """Written table of doc_id, text_hash, s and e: byte ranges of strings of MATCH bytes or more found elsewhere;
+    they may overlap. `batches` instead of a number that follows the counted anchors."""
+    entries = stage(indexed_anchors(keyed), "suffix-anchors")
+    indexed = entries.count()
+    batches = batches or min(MOST_BATCHES, max(1, -(-indexed // BATCH_ENTRIES)))
+    hits = repeated_suffixes(entries, batches, max(1, indexed // batches // PART_ENTRIES))
+    repeated = stage(entries.join(_sized(hits, 2), SUFFIX, "left_semi"), "suffix-repeated")
+    discard(entries)
+    # All from one row, since each takes the first row it gets; any member of a class will do.
+    member = [F.first(c).alias(c) for c in (*KEY, "a", "lo", "hi")]
+    classes = stage(repeated.groupBy(*SUFFIX, "ck").agg(F.count("*").alias("n"), *member), "suffix-classes")
+    whole = stage(classes.where("n > 1").select("kh", "ck"), "suffix-whole")
+    inside = repeated.join(_sized(whole, 2), ["kh", "ck"], "left_semi").select(
         *KEY, F.col("lo").alias("s"), (F.col("hi") + MATCH).alias("e")
     )
-    edges = stage(classes.join(hits, "kh", "left_semi"), "suffix-candidates")
-    large = stage(edges.groupBy("kh").agg(F.count("*").alias("m")).where(F.col("m") > TASK_CLASSES), "suffix-large")
+    several = classes.groupBy("kh").agg(F.count("*").alias("m")).where("m > 1")
+    several = stage(several, "suffix-several")
+    edges = stage(classes.join(_sized(several, 2).select("kh"), "kh", "left_semi"), "suffix-edges")
     found = contexts(keyed, edges)
     kind = keyed.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash long, s int, e int"
+    large = stage(several.where(F.col("m") > TASK_CLASSES), "suffix-large")
     if large.count() == 0:
-        return inside.union(_repeated_in_task(found, schema))
-    found = stage(found, "suffix-contexts")
-    few = found.join(_sized(large, "2"), "kh", "left_anti").select(found.columns)
-    many = found.join(_sized(large, "2"), "kh", "left_semi").select(found.columns)
-    return inside.union(_repeated_in_task(few, schema)).union(_repeated_by_shuffle(many, schema))
+        spans = inside.union(_repeated_in_task(found, schema))
+    else:
+        found = stage(found, "suffix-contexts")
+        few = found.join(_sized(large, 2), "kh", "left_anti").select(found.columns)
+        many = found.join(_sized(large, 2), "kh", "left_semi").select(found.columns)
+        spans = inside.union(_repeated_in_task(few, schema)).union(_repeated_by_shuffle(many, schema))
+    spans = stage(spans, "suffix-spans")
+    for table in (hits, repeated, classes, whole, several, edges, large):
+        discard(table)
+    return spans
 
 
 def covered(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -368,13 +422,18 @@ def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
-def _span_lists(keyed: DataFrame, batches: int) -> DataFrame:
-    """_doc_id, _text_hash, and the ends of all spans of that text as _s and _e."""
-    spans = stage(repeated_spans(keyed, batches), "suffix-spans")
-    lists = spans.groupBy(*[F.col(c).alias(f"_{c}") for c in KEY]).agg(
-        F.collect_list("s").alias("_s"), F.collect_list("e").alias("_e")
+def _span_lists(keyed: DataFrame, batches: int | None, names: list[str]) -> DataFrame:
+    """One row per text with spans: its key, and the ends of all of them, under four names."""
+    doc_id, text_hash, starts, ends = names
+    return (
+        repeated_spans(keyed, batches)
+        .groupBy(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash))
+        .agg(F.collect_list("s").alias(starts), F.collect_list("e").alias(ends))
     )
-    return _sized(stage(lists, "suffix-removed"), "2 + size(_s)")
+
+
+def _same_key(one: list[str], other: list[str]) -> Column:
+    return F.col(f"`{one[0]}`").eqNullSafe(F.col(f"`{other[0]}`")) & (F.col(f"`{one[1]}`") == F.col(f"`{other[1]}`"))
 
 
 def _cut(text: bytes, starts: list[int] | None, ends: list[int] | None, characters: bool) -> tuple[int, bytes]:
@@ -389,7 +448,7 @@ def without_passages(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    batches: int = BATCHES,
+    batches: int | None = None,
     characters: bool = False,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, text_hash, n_bytes, n_removed, n_spans (removed runs that do not
@@ -404,8 +463,9 @@ def without_passages(
     Spark jobs at once and reads `docs` several times, so it should be a written table.
     """
     keyed = keyed_documents(docs, id_column, text_column)
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
-    joined = keyed.join(_span_lists(keyed, batches), same, "left").select("doc_id", "text_hash", "text", "_s", "_e")
+    own = ["_doc_id", "_text_hash", "_s", "_e"]
+    joined = keyed.join(_span_lists(keyed, batches, own), _same_key(KEY, own), "left")
+    joined = joined.select("doc_id", "text_hash", "text", "_s", "_e")
     names = ["doc_id", "text_hash", "n_bytes", "n_removed", "n_spans", "kept"]
 
     def run(batches_):
@@ -425,16 +485,19 @@ def without_passages(
 
 
 def cut_documents(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int = BATCHES
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int | None = None
 ) -> DataFrame:
     """`docs` with all rows and columns, its texts without repeated passages, cut at whole characters.
 
-    Otherwise as `without_passages`; a missing text stays missing."""
+    Otherwise as `without_passages`; a missing text stays missing. Columns may have any names: those needed here
+    take names that are free."""
     position = docs.columns.index(text_column)
-    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce(text_column, F.lit(""))))
-    same = F.col(id_column).eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash"))
-    lists = _span_lists(keyed_documents(docs, id_column, text_column), batches)
-    joined = hashed.join(lists, same, "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_s", "_e")
+    own = [free_name(docs, n) for n in ("key", "key_hash", "starts", "ends")]
+    hashed = free_name(docs, "own_hash")
+    texts = docs.withColumn(hashed, F.xxhash64(F.coalesce(F.col(f"`{text_column}`"), F.lit(""))))
+    lists = _span_lists(keyed_documents(docs, id_column, text_column), batches, own)
+    joined = texts.join(lists, _same_key([id_column, hashed], own), "left")
+    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], *own[2:])
 
     def run(batches_):
         for batch in batches_:

@@ -5,10 +5,11 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from checks.compare import canonical, duck
-from hearthlift.llm import exact_dedup, line_chunks, quality_rules, simhash, suffix_index
-from hearthlift.llm.common import stage
+from hearthlift.llm import exact_dedup, line_chunks, near_copies, quality_rules, simhash, suffix_index
+from hearthlift.llm.common import read, stage
 from hearthlift.llm.components import components
 from hearthlift.llm.queries import ORACLES, QUERIES
 from tests.llm.conftest import ROWS
@@ -205,14 +206,67 @@ def test_passages_of_edge_rows(edge_rows, no_rows):
 
 def test_levels_merge_geometrically(spark):
     family = suffix_index.SuffixIndexFamily()
-    schema = "doc_id long, text_hash long, a int, lo int, hi int, kh long, ck long"
     sizes = []
     for k in range(5):
-        family.add(spark.createDataFrame([(k, k, 1, 0, 1, k % 3, k % 2)], schema))
+        family.add(spark.createDataFrame([(k % 3, k % 3, 1), (9 + k, 9, 1)], "lead long, kh long, n long"))
         sizes.append([n for n, _ in family.levels])
     assert sizes == [[1], [1, 1], [2, 1], [2, 1, 1], [4, 1]]
-    assert sum(r.n for r in family.classes().collect()) == 5
-    assert {r.kh for r in family.hit_anchors().collect()} == {0, 1}
+    assert sum(r.n for _, level in family.levels for r in level.collect()) == 10
+    assert {(r.lead, r.kh) for r in family.hit_suffixes().collect()} == {(0, 0), (1, 1)}
+    family.discard()
+
+
+def test_levels_are_in_the_order_of_the_suffixes(spark):
+    texts = [bytes([b]) + b"\xc3\xa9" * 400 for b in (1, 60, 127)] + [("\u00e9" * 300 + chr(0x4E00 + k)).encode() * 2 for k in range(30)]
+    own, a, _, _, lead, _, _ = suffix_index.anchors(texts)
+    by_lead = [texts[own[k]][a[k] : a[k] + 8] for k in np.argsort(lead.view(np.int64), kind="stable")]
+    assert by_lead == sorted(by_lead)
+
+
+@pytest.mark.parametrize("batches", [1, 7, None])
+def test_family_on_the_given_documents(spark, monkeypatch, batches, small_documents):
+    monkeypatch.setattr(suffix_index, "BATCH_ENTRIES", 500)
+    texts = {k: t.encode() for k, t in small_documents.items()}
+    frame = read(spark, SMALL)
+    levels = []
+    added = suffix_index.SuffixIndexFamily.add
+    monkeypatch.setattr(suffix_index.SuffixIndexFamily, "add", lambda f, b: (added(f, b), levels.append([n for n, _ in f.levels])))
+    rows = {r.doc_id: r for r in suffix_index.without_passages(frame, batches=batches).collect()}
+    for k, (kept, runs) in zip(texts, plain_removal(list(texts.values()), 400), strict=True):
+        assert (bytes(rows[k].kept), rows[k].n_spans) == (kept, runs)
+    # As many batches as the anchors ask for, and logarithmically many levels.
+    assert len(levels) == (batches or len(levels)) and (batches or len(levels) > 4)
+    assert all(len(own) <= 2 + np.log2(k) for k, own in enumerate(levels, 1)) and sum(levels[-1]) == len(levels)
+
+
+def test_windows_of_one_hash_are_compared_by_bytes():
+    cut = [b"a" * 400, b"b" * 400, b"a" * 400, b"c" * 401]
+    row, inside = np.array([0, 1, 2, 3, 3]), np.array([0, 0, 0, 0, 1])
+    collided = suffix_index._equal_windows(cut, row, inside, np.full(5, 7, np.uint64))
+    assert collided.tolist() == [True, False, True, True, True]
+    assert suffix_index._equal_windows(cut, row, inside, np.array([1, 2, 1, 3, 4], np.uint64)).tolist() == [True, False, True, False, False]
+
+
+CLASHING = ["_doc_id", "_text_hash", "_hash", "_s", "_e", "_id", "_sha", "_own", "_stays", "_near_key", "key", "key_hash", "starts",
+            "ends", "own_hash", "near_key", "id", "digest", "stays", "root", "text_sha256", "kept"]
+
+
+@pytest.mark.parametrize("function", [exact_dedup.without_copies, simhash.one_of_each_group, near_copies.without_near_copies, suffix_index.cut_documents])
+def test_columns_of_any_name_come_back_as_they_were(spark, function):
+    rows = [(1, "a b c d e f g"), (1, "A b c d e f g"), (2, "other words that are here"), (3, None), (4, "x" * 900), (5, "y" + "x" * 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = sorted(map(repr, function(docs).collect()))
+    wide = function(docs.withColumns({c: F.concat(F.lit(c + ":"), F.coalesce("text", F.lit("none"))) for c in CLASHING}))
+    assert wide.columns == [*docs.columns, *CLASHING]
+    found = wide.collect()
+    before = {(r[0], r[1]) for r in rows}
+    assert len(found) == len(plain)
+    for r in found:
+        if function is not suffix_index.cut_documents:
+            assert (r.doc_id, r.text) in before
+        texts = {t for k, t in rows if k == r.doc_id}
+        assert all(r[c] in {f"{c}:{t if t is not None else 'none'}" for t in texts} for c in CLASHING)
+        assert len({r[c][len(c) + 1 :] for c in CLASHING}) == 1
 
 
 def test_line_chunks_of_edge_rows(spark, edge_rows, no_rows):
