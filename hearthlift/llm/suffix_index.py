@@ -32,7 +32,7 @@ from hearthlift.llm.common import byte_strings, discard, free_name, map_arrow, m
 
 MATCH, GRAM = 400, 32
 # Anchors of a batch, and most batches: they follow one another, so a larger corpus has larger ones.
-BATCH_ENTRIES, MOST_BATCHES, PART_ENTRIES = 1 << 19, 32, 1 << 21
+BATCH_ENTRIES, MOST_BATCHES, PART_ENTRIES = 1 << 19, 32, 1 << 18
 # Bytes of a text looked at in one piece; longer texts are cut into pieces that overlap.
 PIECE = 1 << 18
 POSITION_BITS = 22
@@ -41,7 +41,7 @@ POSITION_BITS = 22
 BROADCAST_NUMBERS = 4_000_000
 # Classes of one anchor up to which their bytes are compared in one task; beyond, the hashes of their window
 # starts are counted by a shuffle that collapses equal ones first. Both ways find the same.
-TASK_CLASSES = 500
+TASK_CLASSES = 8_000
 # Entries gathered in a task before they are compared, and entries hashed at once.
 GATHERED, CHUNK = 1_024, 256
 
