@@ -166,7 +166,7 @@ def links(distinct: DataFrame, lead: int, differing: int = 3) -> DataFrame:
 
 def leading_bits(n: int) -> int:
     """Leading bits to shuffle by, so that some hundred fingerprints share them whatever their number."""
-    return min(24, max(4, (max(n, 1) // 128).bit_length()))
+    return min(32, max(4, (max(n, 1) // 128).bit_length()))
 
 
 def near_duplicate_groups(

@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from checks.compare import canonical, duck
+from hearthlift.llm import components as components_module
 from hearthlift.llm import exact_dedup, line_chunks, near_copies, quality_rules, simhash, suffix_index
 from hearthlift.llm.common import read, stage
 from hearthlift.llm.components import components
@@ -122,11 +123,35 @@ def test_ball_hashing_finds_all_links(spark, monkeypatch, lead, most):
     assert {f: find(f) for f in fps} == want
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_components_of_a_long_chain(spark, monkeypatch, most):
+    monkeypatch.setattr(components_module, "TASK_LINKS", most)
     links = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (7, 7)]
     frame = stage(spark.createDataFrame(links, "a long, b long"), "chain")
     found = {r.node: r.root for r in components(frame).collect()}
     assert found == {**{k: 0 for k in range(1, 61)}, 101: 100}
+    assert components(frame.where("false")).count() == 0
+
+
+def test_components_in_one_task():
+    rng = np.random.default_rng(1)
+    for n, m in ((2, 1), (50, 40), (1000, 900), (5000, 5000)):
+        a, b = rng.integers(-n, n, (2, m))
+        root = {int(x): int(x) for x in np.concatenate([a, b])}
+
+        def find(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            low, high = sorted((find(x), find(y)))
+            root[high] = low
+        nodes, roots = components_module.smallest_reached(a, b)
+        assert dict(zip(nodes.tolist(), roots.tolist(), strict=True)) == {x: find(x) for x in root}
+    chain = np.random.default_rng(2).permutation(20_000)
+    _, roots = components_module.smallest_reached(chain[:-1], chain[1:])
+    assert (roots == 0).all()
 
 
 def test_simhash_query_against_brute_force(spark, small_documents):
