@@ -31,6 +31,8 @@ from hearthlift.llm.token_ids import text_encoder
 MAGIC = b"HLTOKEN1"
 END_ID = 0
 BITS = 512
+# Characters of a shard, whose ids a task holds until it writes; documents whose ids are read at a time.
+SHARD_CHARACTERS, READ_DOCUMENTS = 16_000_000, 2_048
 
 
 class EliasFano:
@@ -81,12 +83,10 @@ class EliasFano:
         return head.tobytes() + self.low.tobytes() + self.high.tobytes()
 
     @classmethod
-    def from_bytes(cls, data: memoryview, at: int) -> tuple[EliasFano, int]:
-        count, low_bits, low, high = np.frombuffer(data, "<u8", 4, at).tolist()
-        at += 32
-        return cls(
-            count, low_bits, np.frombuffer(data, np.uint8, low, at), np.frombuffer(data, np.uint8, high, at + low)
-        ), at + low + high
+    def read(cls, file) -> EliasFano:
+        """The list that begins where the open file stands."""
+        count, low_bits, low, high = np.frombuffer(file.read(32), "<u8").tolist()
+        return cls(count, low_bits, np.frombuffer(file.read(low), np.uint8), np.frombuffer(file.read(high), np.uint8))
 
 
 def shard_bytes(doc_ids: list[int | None], lengths: list[int], ids: list[bytes], width: int) -> list[bytes]:
@@ -101,28 +101,31 @@ def shard_bytes(doc_ids: list[int | None], lengths: list[int], ids: list[bytes],
 
 
 class Shard:
-    """A file as read back: `offsets` and `doc_ids` by select, `ids` of a document by its offsets."""
+    """An open file as read back: both lists stay packed, `offsets` and `doc_ids` of a range of documents come by
+    select, and their ids from their place in the file."""
 
-    def __init__(self, data: bytes):
-        if bytes(data[:8]) != MAGIC:
+    def __init__(self, file):
+        self.file = file
+        if bytes(file.read(8)) != MAGIC:
             raise ValueError("not a file of token ids")
-        view = memoryview(data)
-        self.n_docs, self.missing, self.width, self.n_ids = np.frombuffer(view, "<u8", 4, 8).tolist()
-        self.bounds, at = EliasFano.from_bytes(view, 40)
-        self.least = int(np.frombuffer(view, "<i8", 1, at)[0])
-        self.names, self.at = EliasFano.from_bytes(view, at + 8)
-        self.all_ids = np.frombuffer(view, f"<u{self.width}", self.n_ids, self.at)
+        self.n_docs, self.missing, self.width, self.n_ids = np.frombuffer(file.read(32), "<u8").tolist()
+        self.bounds = EliasFano.read(file)
+        self.least = int(np.frombuffer(file.read(8), "<i8")[0])
+        self.names = EliasFano.read(file)
+        self.at = file.tell()
 
-    def offsets(self) -> np.ndarray:
-        return self.bounds.get(np.arange(self.n_docs + 1))
+    def offsets(self, first: int, last: int) -> np.ndarray:
+        """Where the documents first..last begin, and where the last one ends."""
+        return self.bounds.get(np.arange(first, last + 1))
 
-    def doc_ids(self) -> list[int | None]:
-        known = self.names.get(np.arange(self.n_docs - self.missing)) + self.least
-        return [None] * self.missing + known.tolist()
+    def doc_ids(self, first: int, last: int) -> list[int | None]:
+        known = self.names.get(np.arange(max(first - self.missing, 0), max(last - self.missing, 0))) + self.least
+        return [None] * (last - first - len(known)) + known.tolist()
 
-    def ids(self, document: int) -> np.ndarray:
-        a, b = self.bounds.get(np.array([document, document + 1]))
-        return self.all_ids[a:b]
+    def ids(self, start: int, end: int) -> np.ndarray:
+        """The ids from one offset to another."""
+        self.file.seek(self.at + start * self.width)
+        return np.frombuffer(self.file.read((end - start) * self.width), f"<u{self.width}")
 
 
 def write_token_files(
@@ -137,15 +140,17 @@ def write_token_files(
     """Encode every document, close it with `end_id`, and write shards to `folder`, a path or URI that the
     driver and all tasks reach. Returns the list of files: shard, file, n_docs, n_ids, base.
 
-    Documents are dealt over `shards` (spark.sql.shuffle.partitions unless given) by ranges of their id and
-    a hash of the text, so that one id with very many rows does not end in one shard, and are ascending in id
+    Documents are dealt over `shards` (as many as the counted characters need at SHARD_CHARACTERS each, unless
+    given) by ranges of their id and a hash of the text, so that one id with very many rows does not end in one shard, and are ascending in id
     over all files. Missing ids come first; equal ids are ordered by that hash and their text. A missing or
     empty text is the closing id alone. Other columns are left out. A task writes under a name of its own and
     renames the whole file at the end, so a task that is run again leaves one file. `base`, the ids in earlier
     shards, comes from one row per shard. Runs a Spark job at once.
     """
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not shards:
+        size = docs.agg(F.sum(F.length(text_column).cast("long") + 1)).first()[0] or 0
+        shards = max(1, -(-size // SHARD_CHARACTERS))
 
     def run(batches):
         coder = text_encoder(tokenizer_path)
@@ -189,32 +194,33 @@ def read_token_files(files: DataFrame, folder: str, with_ids: bool = False) -> D
     """One row per document of the listed files: doc_id, start (ids of all documents before it), n_tokens,
     ids_crc32 of the ids as little-endian unsigned 32-bit numbers, and with `with_ids` the ids as such."""
 
+    def parts(shard: Shard, base: int):
+        for a in range(0, shard.n_docs, READ_DOCUMENTS):
+            b = min(a + READ_DOCUMENTS, shard.n_docs)
+            offsets = shard.offsets(a, b)
+            ids = shard.ids(int(offsets[0]), int(offsets[-1]))
+            inside = (offsets - offsets[0]).tolist()
+            own = [ids[x:y].astype("<u4").tobytes() for x, y in zip(inside[:-1], inside[1:], strict=True)]
+            columns = [
+                pa.array(shard.doc_ids(a, b), pa.int64()),
+                pa.array(offsets[:-1] + base),
+                pa.array(np.diff(offsets)),
+                pa.array([zlib.crc32(x) for x in own], pa.int64()),
+                *([pa.array(own, pa.binary())] if with_ids else []),
+            ]
+            names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
     def run(batches):
         store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
             for row in batch.to_pylist():
-                with store.open_input_stream(f"{root}/{row['file']}") as file:
-                    shard = Shard(file.read())
-                offsets, doc_ids = shard.offsets(), shard.doc_ids()
-                for a in range(0, shard.n_docs, 10_000):
-                    b = min(a + 10_000, shard.n_docs)
-                    own = [
-                        shard.all_ids[x:y].astype("<u4").tobytes()
-                        for x, y in zip(offsets[a:b].tolist(), offsets[a + 1 : b + 1].tolist(), strict=True)
-                    ]
-                    columns = [
-                        pa.array(doc_ids[a:b], pa.int64()),
-                        pa.array(offsets[a:b] + row["base"]),
-                        pa.array(np.diff(offsets[a : b + 1])),
-                        pa.array([zlib.crc32(x) for x in own], pa.int64()),
-                        *([pa.array(own, pa.binary())] if with_ids else []),
-                    ]
-                    names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                with store.open_input_file(f"{root}/{row['file']}") as file:
+                    yield from parts(Shard(file), row["base"])
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    parts = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return map_arrow(files.repartition(parts, "shard"), run, schema)
+    tasks = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return map_arrow(files.repartition(tasks, "shard"), run, schema)
 
 
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import io
 import random
 import zlib
 
@@ -132,7 +133,20 @@ def test_packing_keeps_the_loss_limit():
 def test_op2_query(spark, small_documents, library):
     rows = packing.op2_vector_packing(spark, SMALL).collect()
     assert {r.doc_id for r in rows} == set(small_documents)
-    assert sum(r.length for r in rows) == sum(len(library(t)) + 1 for t in small_documents.values())
+    pieces, sequences = {}, {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for k, text in small_documents.items():
+        ids, at = np.array(library(text) + [packing.END_ID], "<u4"), 0
+        for r in sorted(pieces[k], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at : at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+    for parts in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(parts)]).tolist()
+        assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
+        assert ends[-1] == 2048 or ends[-1] & (ends[-1] - 1) == 0  # nothing is padded
 
 
 def test_elias_fano_returns_what_it_got():
@@ -140,13 +154,13 @@ def test_elias_fano_returns_what_it_got():
     for values in ([], [0], [0, 0, 0], [5], np.sort(rng.integers(0, 10**6, 3000)), np.arange(5000), [0, 2**40]):
         values = np.array(values, np.uint64)
         coded = token_files.EliasFano.of(values)
-        again, _ = token_files.EliasFano.from_bytes(memoryview(coded.to_bytes()), 0)
+        again = token_files.EliasFano.read(io.BytesIO(coded.to_bytes()))
         assert again.get(np.arange(len(values))).tolist() == values.tolist()
     dense = token_files.EliasFano.of(np.sort(rng.integers(0, 10**6, 3000)))
     assert len(dense.to_bytes()) * 8 < 3000 * (2 + np.log2(10**6 / 3000) + 1) + 300
 
 
-def test_token_files_of_edge_rows(spark, edge_rows, no_rows, library):
+def test_token_files_of_edge_rows(spark, edge_rows, no_rows, library, monkeypatch):
     folder = scratch(spark, "tokens")
     files = token_files.write_token_files(edge_rows, folder, JSON, shards=3)
     rows = sorted(token_files.read_token_files(files, folder, with_ids=True).collect(), key=lambda r: r.start)
@@ -158,6 +172,14 @@ def test_token_files_of_edge_rows(spark, edge_rows, no_rows, library):
     assert keys == sorted((k for k, _ in ROWS), key=lambda k: (k is not None, k))
     want = sorted(np.array(library(t) + [0], "<u4").tobytes() for _, t in ROWS)
     assert sorted(r.ids for r in rows) == want
+    # By default as many shards as the characters need; a range of documents is read at a time.
+    monkeypatch.setattr(token_files, "SHARD_CHARACTERS", 4_000)
+    monkeypatch.setattr(token_files, "READ_DOCUMENTS", 2)
+    folder = scratch(spark, "tokens")
+    more = token_files.write_token_files(edge_rows, folder, JSON)
+    assert more.count() > 2
+    again = sorted(token_files.read_token_files(more, folder, with_ids=True).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.start, r.n_tokens) for r in again] == [(r.doc_id, r.start, r.n_tokens) for r in rows]
     empty = token_files.write_token_files(no_rows, scratch(spark, "tokens"), JSON, shards=2)
     assert token_files.read_token_files(empty, folder).count() == 0
 
