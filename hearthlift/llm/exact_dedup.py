@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from hearthlift.llm.common import byte_strings, free_name, map_arrow, read, stage, text_slices
 
-# Ranges of fingerprints: a power of two, so that a range is the leading bits of the quotient.
-RANGE_BITS = 7
+# Ranges of fingerprints: a power of two, so that a range is the leading bits of the quotient. At least so many
+# bits, and more where a range would have more than RANGE_ROWS rows.
+RANGE_BITS, RANGE_ROWS = 7, 4_000_000
 # Fingerprints held before a task passes on its filters and begins new ones, 32 MB.
 HELD = 4_000_000
 # Repeated fingerprints (8 bytes each) up to which they are broadcast; beyond, both sides are shuffled.
@@ -112,9 +113,13 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str) -> DataFrame
     return map_arrow(source, run, f"doc_id {kind}, fp long, text_sha256 string")
 
 
-def counting_filters(slim: DataFrame) -> DataFrame:
-    """Filters of every partition: range, filter."""
-    rest = 64 - RANGE_BITS
+def range_bits(rows: int) -> int:
+    return max(RANGE_BITS, min(32, (rows // RANGE_ROWS).bit_length()))
+
+
+def counting_filters(slim: DataFrame, bits: int = RANGE_BITS) -> DataFrame:
+    """Filters of every partition, for ranges by the first `bits` bits: range, filter."""
+    rest = 64 - bits
 
     def run(batches):
         held: list[np.ndarray] = []
@@ -140,11 +145,11 @@ def counting_filters(slim: DataFrame) -> DataFrame:
     return map_arrow(slim.select("fp"), run, "range long, filter binary")
 
 
-def repeated_fingerprints(filters: DataFrame) -> DataFrame:
+def repeated_fingerprints(filters: DataFrame, bits: int = RANGE_BITS) -> DataFrame:
     """fp and seen, for fingerprints counted more than once over all filters."""
 
     def run(table: pa.Table) -> pa.Table:
-        high = np.uint64(table.column(0)[0].as_py() << (64 - RANGE_BITS))
+        high = np.uint64(table.column(0)[0].as_py() << (64 - bits))
         values, counts = merged([CountingQuotientFilter.from_bytes(x) for x in table.column(1).to_pylist()])
         more = counts > 1
         found = [pa.array((values[more] | high).view(np.int64)), pa.array(counts[more].astype(np.int64))]
@@ -194,7 +199,8 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     the shared folder.
     """
     slim = stage(fingerprints(docs, id_column, text_column), "fingerprints")
-    repeated = stage(repeated_fingerprints(counting_filters(slim)), "repeated")
+    bits = range_bits(slim.count())
+    repeated = stage(repeated_fingerprints(counting_filters(slim, bits), bits), "repeated")
     groups = verified_groups(docs, repeated, id_column, text_column)
     rows = slim.groupBy("doc_id", "fp", "text_sha256").agg(F.count("*").alias("copies"))
     joined = rows.join(groups, ["fp", "text_sha256"], "left")

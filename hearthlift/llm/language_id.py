@@ -134,6 +134,9 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     chosen = sample_of(able, "lang", sample_rows).select("doc_id").distinct()
     # The sample's ids are bounded by its parameter, so they may be broadcast.
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    # One row an id, however many rows have it: that of the text with the smallest hash.
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "lang", "text")).alias("row")
+    rows = rows.groupBy("doc_id").agg(one).select("row.lang", "row.text")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:

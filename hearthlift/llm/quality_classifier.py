@@ -1,6 +1,6 @@
 """Quality score by supervised subword embeddings.
 
-Words, pairs of neighbouring words and byte n-grams are hashed to buckets, each with a learned vector. A
+Words, pairs of neighbouring words and character n-grams are hashed to buckets, each with a learned vector. A
 document's vector is the average over all of them; a softmax layer on it gives the class. Vectors and layer
 are trained together by stochastic gradient descent in numpy. As averaging and the layer are linear, scoring
 needs one number per bucket.
@@ -32,24 +32,30 @@ _WHITE[list(b"\x20\x09\x0a\x0b\x0c\x0d")] = True
 
 def buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Text number and bucket of every feature of all texts, in no special order."""
-    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    joined = b"\n".join([*texts, b""])
+    data = np.frombuffer(joined, np.uint8)
     sizes = np.array([len(t) + 1 for t in texts])
     owner = np.repeat(np.arange(len(texts)), sizes)
     # A text's closing line feed belongs to no feature.
     real = np.ones(len(data), bool)
     real[np.cumsum(sizes) - 1] = False
+    heads = np.flatnonzero((data & 0xC0) != 0x80)  # first bytes of characters
+    signs = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    sign_owner, sign_real = owner[heads], real[heads]
     owners, found = [], []
 
     def put(own: np.ndarray, hashes: np.ndarray, kind: int) -> None:
         owners.append(own)
         found.append((mixed(hashes + np.uint64(kind)) & np.uint64(BUCKETS - 1)).astype(np.int64))
 
-    wide, gram = data.astype(np.uint64) + np.uint64(1), np.zeros(len(data), np.uint64)
+    gram = np.zeros(len(signs), np.uint64)
     for n in range(1, max(GRAMS) + 1):
-        gram = gram[: len(data) - n + 1] * np.uint64(_BASE) + wide[n - 1 :] if len(data) >= n else gram[:0]
+        gram = gram[: len(signs) - n + 1] * np.uint64(_BASE) + signs[n - 1 :] if len(signs) >= n else gram[:0]
         if n in GRAMS:
-            inside = real[n - 1 : n - 1 + len(gram)] & (owner[: len(gram)] == owner[n - 1 : n - 1 + len(gram)])
-            put(owner[: len(gram)][inside], gram[inside], n)
+            last = slice(n - 1, n - 1 + len(gram))
+            inside = sign_real[last] & (sign_owner[: len(gram)] == sign_owner[last])
+            put(sign_owner[: len(gram)][inside], gram[inside], n)
+    wide = data.astype(np.uint64) + np.uint64(1)
     power, inverse = (powers(b, len(data) + 1) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(wide * power[: len(data)])])
     inside = np.concatenate([[False], ~_WHITE[data], [False]])
@@ -131,6 +137,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
     prior = (total[1] or 0) / total[0] if total[0] else 0.5
     # The sample's ids are bounded by its parameter, so they may be broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(sample_of(known, "label", sample_rows)), "doc_id")
+    # One row an id, however many rows have it: that of the text with the smallest hash.
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "label", "text")).alias("row")
+    rows = rows.groupBy("doc_id").agg(one).select("row.label", "row.text")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
