@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -24,15 +25,16 @@ from hearthlift.operators import exposures as X
 from hearthlift.operators import identity as I
 from hearthlift.operators import matching as M
 from hearthlift.operators import newton as N
+from hearthlift.operators import quantiles as K
 from hearthlift.operators.conform import conform, filled, typed, with_baseline_flag
 from hearthlift.operators.demographics import current_people, household_demographics
 from hearthlift.operators.least_squares import cross_products, fitted
 from hearthlift.operators.purchases import household_purchases
-from hearthlift.operators.skew import hot_keys
+from hearthlift.operators.skew import hot_keys, spread_join
 from hearthlift.plans.campaign import prepare_households
 from hearthlift.plans.retail_sources import RETAIL_CAMPAIGN, retail_sources
 from hearthlift.sources.staging import stage, staging_root
-from hearthlift.sources.tables import TableAccess, run_sql
+from hearthlift.sources.tables import TableAccess, load_days, run_sql, save_by_day
 
 CONFIG = RETAIL_CAMPAIGN
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -290,6 +292,34 @@ def bridge_join(spark, folder):
     return I.bridge_join(exposed, "tp_id", "rampid_meta", sources["mapping"], tables).drop("lr_id")
 
 
+_HOT_JOINS = {"inner": "JOIN", "left": "LEFT JOIN", "right": "RIGHT JOIN", "full": "FULL JOIN", "left_semi": "SEMI JOIN", "left_anti": "ANTI JOIN"}
+_MANY_SQL = "SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 10 <> 0 THEN 0 ELSE o_custkey % 500 END AS many_key FROM orders"
+_ONE_SQL = """SELECT c_custkey AS other_id, CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_custkey END AS one_key FROM customer
+  WHERE c_custkey % 3 = 0 AND c_custkey <= 1500"""
+
+
+@query(f"WITH many AS ({_MANY_SQL}), one AS ({_ONE_SQL}) " + " UNION ALL ".join(
+    f"""SELECT '{name}' AS join_type, many_key, {"CAST(NULL AS BIGINT)" if "_" in name else "one_key"} AS one_key, COUNT(*) AS rows,
+        SUM(row_id) AS row_ids, {"CAST(NULL AS BIGINT)" if "_" in name else "SUM(other_id)"} AS other_ids
+        FROM many {join} one ON many_key = one_key GROUP BY ALL""" for name, join in _HOT_JOINS.items()))
+def hot_joins(spark, folder):
+    """Joins of every type in which one key has nine tenths of the rows."""
+    many = run_sql(spark, _MANY_SQL.replace("FROM orders", "FROM @orders"), {"orders": spark.read.parquet(f"{folder}/orders.parquet")})
+    one = run_sql(spark, _ONE_SQL.replace("FROM customer", "FROM @customer"), {"customer": spark.read.parquet(f"{folder}/customer.parquet")})
+    hot = hot_keys(many, "many_key", share=0.1, min_rows=100)
+    results = []
+    for name in _HOT_JOINS:
+        joined = spread_join(many, one, "many_key", "one_key", name, hot, F.col("row_id"))
+        if "_" in name:
+            joined = joined.withColumns({"one_key": F.lit(None).cast("long"), "other_id": F.lit(None).cast("long")})
+        results.append(
+            joined.groupBy(F.lit(name).alias("join_type"), "many_key", "one_key").agg(
+                F.count("*").alias("rows"), F.sum("row_id").alias("row_ids"), F.sum("other_id").alias("other_ids")
+            )
+        )
+    return reduce(DataFrame.unionByName, results)
+
+
 # ---- purchases -------------------------------------------------------------------------------
 
 
@@ -313,6 +343,21 @@ def resolvable_conversions(spark, folder):
     )
 
 
+@query(O.chain(("scoped",), """SELECT transaction_date, COUNT(*) AS rows, SUM(quantity)::BIGINT AS quantity,
+       COUNT(DISTINCT lr_id) AS identities FROM scoped GROUP BY ALL"""))
+def resolvable_conversions_by_day(spark, folder):
+    """Purchases laid out in a folder per day and sorted by identity; the period's folders alone are read."""
+    sources = retail_sources(spark, folder)
+    path = f"{staging_root(spark).rstrip('/')}/purchases-{uuid.uuid4().hex}"
+    save_by_day(sources["conversion"], path, "transaction_timestamp_unix", ["lr_id"])
+    laid = load_days(spark, path, sources["conversion"].schema)
+    identities = I.identity_households(sources["mapping"], sources["demographics"])
+    scoped = C.resolvable_conversions(C.conversions_in_period(laid, CONFIG), identities)
+    return scoped.groupBy("transaction_date").agg(
+        F.count("*").alias("rows"), F.sum("quantity").alias("quantity"), F.count_distinct("lr_id").alias("identities")
+    )
+
+
 @query(O.chain(("deduped",), """SELECT lr_id, order_id, product_id, transaction_timestamp_unix, transaction_date,
        transaction_category, product_brand, banner, division, CAST(transaction_amount AS DOUBLE) AS transaction_amount,
        quantity FROM deduped"""))
@@ -340,6 +385,15 @@ def flight_exposures(spark, folder):
     return X.flight_exposures(retail_sources(spark, folder)["exposure"], CONFIG)
 
 
+@query(O.chain(("flight_exposure",), "SELECT * FROM flight_exposure"))
+def flight_exposures_by_day(spark, folder):
+    """The same from exposures laid out in a folder per day, of which only the flight's are read."""
+    exposure = retail_sources(spark, folder)["exposure"]
+    path = f"{staging_root(spark).rstrip('/')}/exposures-{uuid.uuid4().hex}"
+    save_by_day(exposure, path, "ts", ["tp_id"])
+    return X.flight_exposures(load_days(spark, path, exposure.schema), CONFIG)
+
+
 @query(O.chain(("exposed",), "SELECT * FROM exposed"))
 def exposed_identities(spark, folder):
     return X.exposed_identities(X.flight_exposures(retail_sources(spark, folder)["exposure"], CONFIG))
@@ -523,6 +577,32 @@ def winsorised_spend(spark, folder):
     return rounded(E.winsorised(df, E.upper_limits(df, _CAPPED)).select(S.HOUSEHOLD, *_CAPPED))
 
 
+_WINDOWS = {
+    "year": (CONFIG.baseline_start, CONFIG.baseline_end),
+    "recent": (CONFIG.recent_start, CONFIG.baseline_end),
+    "flight": (CONFIG.flight_start, CONFIG.flight_end),
+}
+
+
+@query(O.chain(("raw_conversion",), " UNION ALL ".join(f"""
+  SELECT '{name}' AS period, {share} AS share, ROUND(quantile_disc(transaction_amount, {share}), 6) AS transaction_amount,
+         ROUND(quantile_disc(quantity, {share}), 6) AS quantity
+  FROM raw_conversion WHERE transaction_date BETWEEN DATE '{a}' AND DATE '{b}'"""
+  for name, (a, b) in _WINDOWS.items() for share in (0.5, 0.99))))
+def window_quantiles(spark, folder):
+    """Exact quantiles of three periods from one written table of daily sketches."""
+    purchases = written(spark, folder, "raw_conversion")
+    columns = ["transaction_amount", "quantity"]
+    kept = stage(K.sketches(purchases, "transaction_date", columns), "daily-sketches")
+    rows = []
+    for name, (a, b) in _WINDOWS.items():
+        period = F.col("transaction_date").between(F.lit(a), F.lit(b))
+        for share in (0.5, 0.99):
+            found, _ = K.quantiles(purchases.where(period), kept.where(period), columns, share)
+            rows.append((name, share, *[found[c] for c in columns]))
+    return rounded(spark.createDataFrame(rows, "period string, share double, transaction_amount double, quantity double"))
+
+
 def _predicted(spark, folder):
     """Predictions by group means, which SQL can compute too."""
     flags = {f"seg_{name}": value for name, value in E.segment_flags().items()}
@@ -911,6 +991,54 @@ def treatment_equations(spark, folder):
     return found.withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
+def _balance(matched: DataFrame) -> DataFrame:
+    found = D.balance_table(matched, S.PROPENSITY_NUMERIC)
+    return found.withColumns({c: F.round(c, d) for c, d in (("smd", 6), ("variance_ratio", 6), ("ks_distance", 9))})
+
+
+@query(O.chain(("stratified_exact",), O.balance("stratified_exact", S.PROPENSITY_NUMERIC)))
+def balance_of_strata_match(spark, folder):
+    """Means, variances and distributions of every numeric propensity covariate in the two arms."""
+    return _balance(written(spark, folder, "StratifiedFeatures"))
+
+
+@query(O.chain(("propensity_scored",), _SCORED_MATCH.format(where="true") + O.balance("matched", S.PROPENSITY_NUMERIC)))
+def balance_of_propensity_match(spark, folder):
+    return _balance(written(spark, folder, "PSMMatchedFeatures"))
+
+
+# The order in which the matched tables are reported.
+_STRATA_ORDER = f"treatment DESC, {O.STRATA}, treatment_group DESC, stratum_rank, addressLink"
+
+
+@query(O.chain(("stratified",), f"SELECT addressLink, ROW_NUMBER() OVER (ORDER BY {_STRATA_ORDER}) AS place FROM stratified"))
+def strata_report_order(spark, folder):
+    """Places of the sorted report rows, as they come out of the sort."""
+    return _placed(M.in_report_order(written(spark, folder, "StratifiedFeatures")))
+
+
+@query(O.chain(("propensity_scored",), _SCORED_MATCH.format(where="true") + """
+  SELECT addressLink, ROW_NUMBER() OVER (ORDER BY treatment DESC, treatment_group, propensity_score DESC, addressLink) AS place FROM matched"""))
+def propensity_report_order(spark, folder):
+    return _placed(M.in_report_order(written(spark, folder, "PSMMatchedFeatures")))
+
+
+@query(O.chain(("eligible",), "SELECT addressLink, ROW_NUMBER() OVER (ORDER BY treatment DESC, addressLink) AS place FROM eligible"))
+def household_report_order(spark, folder):
+    """Tables without score and stratum rank are sorted by arm and household."""
+    return _placed(M.in_report_order(M.eligible_households(written(spark, folder, "AllFeatures"))))
+
+
+def _placed(ordered: DataFrame) -> DataFrame:
+    """Numbers rows as they come: partitions of a sorted frame follow one another, and so do their rows."""
+    rows = stage(ordered.select(S.HOUSEHOLD).withColumn("at", F.monotonically_increasing_id()), "report-order")
+    parts = rows.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("rows"))
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = F.broadcast(parts.select("part", before.alias("before")))  # a row a partition
+    place = F.col("before") + F.col("at") - F.shiftleft(F.col("part"), 33) + 1
+    return rows.withColumn("part", F.shiftright("at", 33)).join(parts, "part").select(S.HOUSEHOLD, place.alias("place"))
+
+
 # ---- whole estimates: no SQL equivalent ------------------------------------------------------
 
 

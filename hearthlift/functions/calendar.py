@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _EPOCH = date(1970, 1, 1)
+# Column, and folder, of the calendar day in tables that are laid out by day.
+DAY = "day"
 
 
 def epoch_of(day: date) -> int:
@@ -25,6 +27,14 @@ def epoch_within(epoch: Column, first: date, last: date) -> Column:
     return (epoch >= F.lit(epoch_of(first))) & (epoch < F.lit(epoch_of(last + timedelta(days=1))))
 
 
+def within_period(df: DataFrame, epoch: str, first: date, last: date) -> Column:
+    """Rows of days first..last; of a table laid out by day only those days' folders are listed and read."""
+    within = epoch_within(F.col(epoch), first, last)
+    if DAY in df.columns and dict(df.dtypes)[DAY] == "date":
+        return F.col(DAY).between(F.lit(first), F.lit(last)) & within
+    return within
+
+
 def day_within(day: str, first: date, last: date) -> str:
     """SQL condition for days first..last, inclusive."""
     return f"{day} BETWEEN DATE '{first}' AND DATE '{last}'"

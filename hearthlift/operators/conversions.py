@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthlift.config import CampaignConfig
-from hearthlift.functions.calendar import date_of, epoch_within
+from hearthlift.functions.calendar import date_of, within_period
 from hearthlift.functions.values import flag
 from hearthlift.operators.conform import typed
 from hearthlift.operators.ranking import first_per_key
@@ -31,7 +31,8 @@ def campaign_products(campaign: DataFrame, config: CampaignConfig) -> DataFrame:
 def conversions_in_period(conversion: DataFrame, config: CampaignConfig) -> DataFrame:
     """Purchases from the start of the baseline to the end of the flight; the scan sees the range."""
     epoch = F.col("transaction_timestamp_unix")
-    return conversion.where(epoch_within(epoch, config.baseline_start, config.flight_end)).select(
+    period = within_period(conversion, "transaction_timestamp_unix", config.baseline_start, config.flight_end)
+    return conversion.where(period).select(
         "lr_id",
         "order_id",
         *_TEXTS,

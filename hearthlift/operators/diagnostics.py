@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearthlift.sources.staging import stage
+
 # The covariates that the match report shows.
 BALANCE_COVARIATES = ("baseline_12m_revenue_sum", "baseline_12m_orders", "days_since_last_baseline_purchase")
 
@@ -44,6 +46,55 @@ def covariate_balance(matched: DataFrame, covariates: Sequence[str] = BALANCE_CO
     return moments.select(*_standardised_differences(covariates))
 
 
+# Slices of a covariate's values, of about as many rows each, within which counts are added up.
+BALANCE_SLICES = 256
+
+
+def balance_table(matched: DataFrame, covariates: Sequence[str], treatment: str = "treatment") -> DataFrame:
+    """One row per covariate: rows of either arm, standardised mean difference, variance ratio (treated over
+    control), and the Kolmogorov distance of the two distributions. Missing values count nowhere; a measure that
+    is not defined is missing.
+
+    All covariates go through the same two aggregations: moments by covariate, and counts of either arm by covariate
+    and distinct value. The counts are added up in the order of the values within slices, whose edges are
+    quantiles from the first aggregation, and then over the slices, so that no task has all values of a covariate."""
+    values = [F.col(c).cast("double").alias(c) for c in covariates]
+    long = matched.select(F.col(treatment).alias("arm"), *values).unpivot(["arm"], list(covariates), "covariate", "value")
+    long = stage(long.where("value IS NOT NULL AND arm IN (0, 1)"), "balance-values")
+    arms = {"treated": F.col("arm") == 1, "control": F.col("arm") == 0}
+    shares = [k / BALANCE_SLICES for k in range(1, BALANCE_SLICES)]
+    moments = long.groupBy("covariate").agg(
+        *[F.count_if(arm).alias(f"{name}_rows") for name, arm in arms.items()],
+        *[f(F.when(arm, F.col("value"))).alias(f"{part}_{name}") for name, arm in arms.items() for part, f in (("mean", F.avg), ("var", F.var_samp))],
+        F.percentile_approx("value", shares, 1_000).alias("edges"),
+    )
+    moments = stage(moments, "balance-moments")  # a row a covariate
+    counts = long.groupBy("covariate", "value").agg(*[F.count_if(arm).alias(name) for name, arm in arms.items()])
+    counts = counts.join(F.broadcast(moments.select("covariate", "edges")), "covariate")
+    below = F.size(F.filter("edges", lambda e: e < F.col("value")))
+    counts = stage(counts.select("covariate", "value", *arms, below.alias("slice")), "balance-counts")
+    earlier = Window.partitionBy("covariate").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.groupBy("covariate", "slice").agg(*[F.sum(a).alias(a) for a in arms])
+    starts = starts.select("covariate", "slice", *[F.coalesce(F.sum(a).over(earlier), F.lit(0)).alias(f"{a}_before") for a in arms])
+    upto = Window.partitionBy("covariate", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    sums = counts.withColumns({f"{a}_upto": F.sum(a).over(upto) for a in arms}).join(starts, ["covariate", "slice"])
+    sums = sums.join(F.broadcast(moments.drop("edges")), "covariate")
+
+    def reached(arm: str) -> Column:
+        return (F.col(f"{arm}_before") + F.col(f"{arm}_upto")) / F.nullif(F.col(f"{arm}_rows"), F.lit(0))
+
+    apart = sums.groupBy("covariate").agg(F.max(F.abs(reached("treated") - reached("control"))).alias("ks_distance"))
+    pooled = F.sqrt((F.col("var_treated") + F.col("var_control")) / 2)
+    return moments.join(F.broadcast(apart), "covariate").select(
+        "covariate",
+        "treated_rows",
+        "control_rows",
+        ((F.col("mean_treated") - F.col("mean_control")) / F.nullif(pooled, F.lit(0.0))).alias("smd"),
+        (F.col("var_treated") / F.nullif(F.col("var_control"), F.lit(0.0))).alias("variance_ratio"),
+        "ks_distance",
+    )
+
+
 def match_report(
     eligible: DataFrame,
     matched: DataFrame,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthlift.config import CampaignConfig
-from hearthlift.functions.calendar import epoch_within
+from hearthlift.functions.calendar import within_period
 from hearthlift.functions.values import flag
 from hearthlift.operators.conform import typed
 from hearthlift.operators.skew import hot_keys, spread_join
@@ -18,7 +18,7 @@ def flight_exposures(exposure: DataFrame, config: CampaignConfig) -> DataFrame:
 
     The repeat filter covers every column, so it is a distinct and combines map-side.
     """
-    during = epoch_within(F.col("ts"), config.flight_start, config.flight_end)
+    during = within_period(exposure, "ts", config.flight_start, config.flight_end)
     return exposure.where((F.col("campaign_id") == config.campaign_id) & during).select(*EXPOSURE.fieldNames()).distinct()
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthlift.operators.ranking import latest_per_key
-from hearthlift.operators.skew import hot_keys, spread_join
+from hearthlift.operators.skew import hot_keys, join_kind, spread_join
 from hearthlift.schemas import HOUSEHOLD
 
 
@@ -69,12 +69,12 @@ def bridge_join(
 ) -> DataFrame:
     """Join tables keyed by different kinds of identity, by way of the identity map.
 
-    Base rows keep their place if every table is brought in by an outer join; an id without
+    Base rows keep their place if every table is brought in by a left or full join; an id without
     mapping then matches nothing. Hot ids of the base and of the map are spread over many tasks in
-    inner and left joins; counting them runs Spark jobs at once.
+    joins of every type; counting them runs Spark jobs at once.
     """
     kinds = list(dict.fromkeys([map_column, *[t.map_column for t in tables]]))
-    keep_unmapped = all(t.how in ("left", "left_outer", "leftouter") for t in tables)
+    keep_unmapped = all(join_kind(t.how) in ("left", "full") for t in tables)
     links = mapping.select(*[F.col(k).alias(f"_map_{k}") for k in kinds]).distinct()
     joined = spread_join(
         base,
@@ -86,10 +86,7 @@ def bridge_join(
         F.struct(*base.columns),
     )
     for table in tables:
-        key, how = f"_map_{table.map_column}", "left" if table.how in ("left_outer", "leftouter") else table.how
-        if how in ("inner", "left"):
-            hot, row = hot_keys(mapping, table.map_column), F.struct(*[joined[c] for c in base.columns])
-            joined = spread_join(joined, table.df, key, table.column, how, hot, row)
-        else:
-            joined = joined.join(table.df, joined[key] == table.df[table.column], how)
+        key = f"_map_{table.map_column}"
+        hot, row = hot_keys(mapping, table.map_column), F.struct(*[joined[c] for c in base.columns])
+        joined = spread_join(joined, table.df, key, table.column, table.how, hot, row)
     return joined.drop(*[f"_map_{k}" for k in kinds])

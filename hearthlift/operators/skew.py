@@ -25,6 +25,28 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int =
     return [row[key] for row in heavy if row["rows"] >= share * total]
 
 
+# Names of join types, and what they are called here.
+_JOINS = {
+    name: kind
+    for kind, names in {
+        "inner": ("inner",),
+        "left": ("left", "leftouter"),
+        "right": ("right", "rightouter"),
+        "full": ("full", "fullouter", "outer"),
+        "left_semi": ("semi", "leftsemi"),
+        "left_anti": ("anti", "leftanti"),
+    }.items()
+    for name in names
+}
+
+
+def join_kind(how: str) -> str:
+    kind = _JOINS.get(how.replace("_", "").lower())
+    if kind is None:
+        raise ValueError(f"unknown type of join: {how}")
+    return kind
+
+
 def spread_join(
     many: DataFrame,
     one: DataFrame,
@@ -41,9 +63,15 @@ def spread_join(
     cluster busy. Only rows of `one` that carry a hot key are copied, once per part. `spread_by`
     decides the part of a hot row and must be a function of the row, so that a repeated task
     routes its rows as before.
+
+    In a right or full join a row of `one` without partner must come out once, but its copies meet
+    different parts. A key that `many` has is never without partner, so what its copies leave over is
+    taken out again; a key that `many` does not have is not split. Which hot keys it has takes a job at once.
     """
-    if how not in ("inner", "left", "left_semi"):
-        raise ValueError(f"spread_join supports inner, left and left_semi, not {how}")
+    how = join_kind(how)
+    if hot and how in ("right", "full"):
+        present = many.where(F.col(many_key).isin(hot)).select(F.col(many_key).alias("key")).distinct()
+        hot = [row["key"] for row in present.collect()]
     if not hot:
         return many.join(one, many[many_key] == one[one_key], how)
     if ways is None:
@@ -53,6 +81,9 @@ def spread_join(
     left = many.withColumn("_way", way.cast("int"))
     right = one.withColumn("_copy", F.explode(copies))
     joined = left.join(right, (left[many_key] == right[one_key]) & (left["_way"] == right["_copy"]), how)
+    if how in ("right", "full"):
+        left_over = left["_way"].isNull() & F.coalesce(right[one_key].isin(hot), F.lit(False))
+        joined = joined.where(~left_over)
     return joined.drop("_way", "_copy")
 
 

@@ -30,14 +30,58 @@ def test_hot_keys_are_found(lopsided):
     assert skew.hot_keys(lopsided, "k") == []
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_spread_join_equals_the_plain_join(lopsided, lookup, how):
-    plain = lopsided.join(lookup, lopsided.k == lookup.j, how)
-    spread = skew.spread_join(lopsided, lookup, "k", "j", how, ["hot"], F.col("id"))
+EVERY = ["inner", "left", "left_outer", "right", "rightouter", "full", "outer", "full_outer", "left_semi", "semi", "left_anti", "anti"]
+
+
+@pytest.mark.parametrize("how", EVERY)
+@pytest.mark.parametrize("hot", [["hot"], ["hot", "7", "299", "nowhere"]])
+def test_spread_join_equals_the_plain_join(spark, lopsided, lookup, how, hot):
+    """Hot keys on both sides, with copies of the second side; one that only the second side has; null keys."""
+    extra = spark.createDataFrame([("hot", -2), ("nowhere", 5), ("nowhere", 6), (None, 8)], "j string, v bigint")
+    other = lookup.unionAll(extra)
+    plain = lopsided.join(other, lopsided.k == other.j, how)
+    spread = skew.spread_join(lopsided, other, "k", "j", how, hot, F.col("id"))
     assert spread.columns == plain.columns
     assert rows(spread) == rows(plain)
 
 
+def test_unknown_joins_are_refused(lopsided, lookup):
+    with pytest.raises(ValueError):
+        skew.spread_join(lopsided, lookup, "k", "j", "sideways", [], F.col("id"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "anti"])
+def test_no_task_has_a_tenth_of_a_key_with_most_rows(spark, conf, how):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "64")
+    many = spark.range(50_000).selectExpr("id", "IF(id % 10 < 9, 'hot', CAST(id % 300 AS STRING)) AS k")
+    one = spark.range(300).selectExpr("CAST(id AS STRING) AS j")
+    one = one if how == "anti" else one.unionAll(spark.createDataFrame([("hot",)], "j string"))
+    spread = skew.spread_join(many, one, "k", "j", how, skew.hot_keys(many, "k", share=0.1, min_rows=100), F.col("id"))
+    per_task = spread.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 45_000
+    assert max(r["count"] for r in per_task) < 5_000
+
+
+def test_bridge_join_of_every_type_with_a_hot_identity(spark, monkeypatch):
+    from hearthlift.operators import identity as I
+
+    base = spark.range(2000).selectExpr("IF(id % 10 < 9, 'm0', CONCAT('m', id % 50)) AS tp_id", "id AS n")
+    links = spark.range(60).selectExpr("CONCAT('d', id) AS rampid_dpm", "CONCAT('m', id) AS rampid_meta", "IF(id % 4 = 0, 'r0', CONCAT('r', id)) AS rampid_rmn")
+    orders = spark.range(80).selectExpr("CONCAT('r', id % 70) AS lr_id", "id AS orders")
+    plain = {}
+    for how in ("inner", "left", "right", "full"):
+        tables = [I.BridgedTable(orders, "lr_id", "rampid_rmn", how)]
+        plain[how] = rows(I.bridge_join(base, "tp_id", "rampid_meta", links, tables))
+    monkeypatch.setattr(I, "hot_keys", lambda df, key: skew.hot_keys(df, key, share=0.02, min_rows=2))
+    for how, want in plain.items():
+        tables = [I.BridgedTable(orders, "lr_id", "rampid_rmn", how)]
+        assert rows(I.bridge_join(base, "tp_id", "rampid_meta", links, tables)) == want
+    assert sum(r[0] is None for r in plain["full"]) == sum(r[0] is None for r in plain["right"]) > 0
+    assert {r[0] for r in plain["left"]} == {r[0] for r in rows(base)}
+
+
 def test_spread_join_spreads(spark, conf, lopsided, lookup):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.enabled", "false")

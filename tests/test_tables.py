@@ -1,6 +1,9 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
+from hearthlift.functions.calendar import epoch_within, within_period
 from hearthlift.sources import staging
 from hearthlift.sources.tables import TableAccess, load, register_parquet, run_sql, save
 from tests.conftest import SMALL, rows
@@ -72,3 +75,35 @@ def test_staging_needs_a_shared_folder_on_a_cluster():
 def test_an_empty_table_can_be_staged_by_folders(spark):
     staged = staging.stage(spark.range(0).withColumn("part", F.lit(1)), "none", ["part"])
     assert staged.count() == 0 and staged.columns == ["id", "part"]
+
+
+def files_read(df) -> int:
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numFiles").value() for k in range(leaves.size()))
+
+
+def test_tables_laid_out_by_day_are_read_by_day(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    day = 86_400
+    df = spark.range(6000).selectExpr(
+        "CAST(id % 97 AS STRING) AS lr_id", f"IF(id % 3 = 0, 0, id % 30) * {day} + id % {day} AS transaction_timestamp_unix", "id"
+    )
+    access = TableAccess(spark, output_folders={"t": str(tmp_path)}, save_folder=str(tmp_path), extra_outputs=True)
+    access.save_output_by_day(df, "purchases", "transaction_timestamp_unix", ["lr_id"])
+    back = access.read_days("t", "purchases", df.schema)
+    assert rows(back.select(df.columns)) == rows(df)
+    assert len(list((tmp_path / "purchases").glob("day=*"))) == 30
+    period = within_period(back, "transaction_timestamp_unix", date(1970, 1, 6), date(1970, 1, 8))
+    found = back.where(period)
+    want = df.where(epoch_within(F.col("transaction_timestamp_unix"), date(1970, 1, 6), date(1970, 1, 8)))
+    assert rows(found.select(df.columns)) == rows(want)
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThanOrEqual(transaction_timestamp_unix" in plan
+    assert files_read(found) <= 6 < files_read(back)
+    # The day with a third of the rows has several files, each with its own identities.
+    spans = back.where("day = DATE'1970-01-01'").groupBy(F.input_file_name()).agg(F.min("lr_id").alias("low"), F.max("lr_id").alias("high"))
+    spans = sorted((r.low, r.high) for r in spans.collect())
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    with pytest.raises(RuntimeError):
+        TableAccess(spark, save_folder=str(tmp_path)).save_output_by_day(df, "x", "transaction_timestamp_unix", ["lr_id"])
