@@ -585,7 +585,7 @@ _WINDOWS = {
 
 
 @query(O.chain(("raw_conversion",), " UNION ALL ".join(f"""
-  SELECT '{name}' AS period, {share} AS share, ROUND(quantile_disc(transaction_amount, {share}), 6) AS transaction_amount,
+  SELECT '{name}' AS period, CAST({share} AS DOUBLE) AS share, ROUND(quantile_disc(transaction_amount, {share}), 6) AS transaction_amount,
          ROUND(quantile_disc(quantity, {share}), 6) AS quantity
   FROM raw_conversion WHERE transaction_date BETWEEN DATE '{a}' AND DATE '{b}'"""
   for name, (a, b) in _WINDOWS.items() for share in (0.5, 0.99))))
@@ -884,6 +884,15 @@ def propensity_coefficients(spark, folder):
     return rounded(N.coefficient_table(spark, [fit], _PROPENSITY_NAMES).drop("fold"))
 
 
+@query(O.chain(("propensity_rows",), f"""
+  SELECT addressLink, CAST(position AS INTEGER) AS position, ROUND(list_extract([{", ".join(f"v{j}" for j in range(len(_PROPENSITY_NAMES)))}], position + 1), 6) AS value
+  FROM propensity_rows, (SELECT unnest(range({len(_PROPENSITY_NAMES)})) AS position)"""))
+def propensity_vector(spark, folder):
+    """The assembled features of every eligible household, number by number."""
+    matrix = M.propensity_matrix(M.eligible_households(written(spark, folder, "AllFeatures")))
+    return rounded(matrix.select(S.HOUSEHOLD, F.posexplode(vector_to_array("features")).alias("position", "value")))
+
+
 _SCORED_MATCH = """
   , limited AS (SELECT * EXCLUDE (raw), CASE WHEN raw > 0.95 THEN 0.95 WHEN raw < 0.05 THEN 0.05 ELSE raw END AS propensity_score
                 FROM propensity_scored WHERE {where}),

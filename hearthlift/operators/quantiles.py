@@ -72,7 +72,8 @@ def quantiles(df: DataFrame, merged: DataFrame, columns: Sequence[str], share: f
     rows = strips.select(
         *[F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(F.col(c), F.array(F.lit(max(share - MARGIN, 0.0)), F.lit(min(share + MARGIN, 1.0))))).alias(c) for c in columns]
     ).first()
-    searches = {c: _Search(*rows[c]) for c in columns if rows[c]}
+    # Without sketched values the search begins around 0; a column without any value ends it.
+    searches = {c: _Search(*(rows[c] or (0.0, 0.0))) for c in columns}
     out: dict[str, float | None] = dict.fromkeys(columns)
     reads = 0
     long = numbers.unpivot([], list(columns), "name", "value").where("value IS NOT NULL AND NOT isnan(value)")
@@ -85,6 +86,8 @@ def quantiles(df: DataFrame, merged: DataFrame, columns: Sequence[str], share: f
         for c in open_:
             parts = sorted((r for r in counts if r["name"] == c), key=lambda r: r["part"])
             search = searches.pop(c)
+            if not parts:
+                continue
             if search.wanted is None:
                 search.wanted = max(1, math.ceil(share * sum(r["rows"] for r in parts)))
             before = 0
