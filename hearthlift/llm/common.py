@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import uuid
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -29,6 +31,14 @@ def workers_can_import(spark: SparkSession) -> None:
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def give_back_memory() -> None:
+    """Return what a task has freed to the system: workers live on, and would keep it for tasks of other kinds."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """mapInArrow, with this package importable on the workers.
 
@@ -38,7 +48,12 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     workers_can_import(spark)
     if BATCH_BYTES not in spark.conf.getAll:
         spark.conf.set(BATCH_BYTES, "8m")
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        give_back_memory()
+
+    return df.mapInArrow(run, schema)
 
 
 def read(spark: SparkSession, folder: str, table: str = "documents") -> DataFrame:
