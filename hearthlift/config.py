@@ -29,7 +29,6 @@ class CampaignConfig:
     # Cross-fitting. Folds and samples come from a hash of the household and this seed.
     folds: int = 5
     seed: int = 42
-    parallel_fits: int = 3
 
     # 'xxhash64' is the fast default; 'md5' gives an order other SQL engines can repeat.
     order_hash: str = "xxhash64"
