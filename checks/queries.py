@@ -979,11 +979,16 @@ _EQUATION_ROWS = f"""SELECT CAST(fold AS INTEGER) AS fold, feature, 0.0::DOUBLE
 
 @query(_EQUATION_ROWS.format(more=", '(scale)'"))
 def huber_equations(spark, folder):
-    """The outcome models of the strata match: their published slopes and scale solve the estimating equations."""
+    """The outcome models of the strata match: their published slopes and scale solve the estimating equations.
+
+    A scale at its lower bound, where few rows are fitted without residuals, may only not ask to be larger."""
     rows, names = _equations(spark, folder, "StratifiedFeatures", N.HUBER)
     z = (F.col("post_campaign_total_order_value") - F.col("eta")) / F.col("model")["(scale)"]
     limited = F.greatest(F.least(z, F.lit(E.LINEAR.epsilon)), F.lit(-E.LINEAR.epsilon))
-    found = _by_feature(rows, names, limited, [("(scale)", F.avg(limited * limited) - 1)])
+    least = 1.000001 * N.SCALE_FLOOR * F.stddev_samp("post_campaign_total_order_value")
+    pull = F.avg(limited * limited) - 1
+    scale = F.when(F.first(F.col("model")["(scale)"]) <= least, F.greatest(pull, F.lit(0.0))).otherwise(pull)
+    found = _by_feature(rows, names, limited, [("(scale)", scale)])
     return found.withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
