@@ -1,7 +1,7 @@
 """Boosted regression trees for the outcome and the treatment, of all folds at once.
 
-Features are binned once: the edges come from one mergeable sketch of the whole table, and a row keeps its bins
-as small integers. A tree level then needs one pass for all ensembles together, two a fold: the rows and sums of
+Features are binned once: the edges are exact quantiles of the whole table, which a mergeable sketch narrows and
+counts between its values find, and a row keeps its bins as small integers. A tree level then needs one pass for all ensembles together, two a fold: the rows and sums of
 residuals by (ensemble, node, feature, bin). From these the best split of every node is found, and with it the
 leaves' values, so that a tree of depth five takes five passes whatever the number of folds.
 
@@ -34,6 +34,8 @@ LABEL = "post_campaign_total_order_value"
 SMALL_TABLE = 100_000
 # Trees after which the rows' scores are written, so that a pass adds up no more trees than that.
 SCORED_TREES = 10
+# Size of the sketches that the edges are found from, and parts that a strip around an edge is counted in.
+SKETCH_ACCURACY, EDGE_PARTS = 10_000, 64
 # A split must gain this share of the node's own sum of squares over its rows.
 LEAST_GAIN = 1e-9
 
@@ -323,11 +325,66 @@ def feature_names(design: DataFrame) -> list[str]:
     return [a["name"] for a in sorted((a for kind in attributes.values() for a in kind), key=lambda a: a["idx"])]
 
 
+def _counted(arrays: DataFrame, width: int, cuts: dict[int, np.ndarray]) -> list:
+    """Rows, least and largest value of every feature's cells: 2 i lies below cut i, 2 i + 1 is cut i itself."""
+
+    def run(batches):
+        total = {j: (np.zeros(2 * len(c) + 1, np.int64), np.full(2 * len(c) + 1, np.inf), np.full(2 * len(c) + 1, -np.inf)) for j, c in cuts.items()}
+        for batch in batches:
+            values = matrix(batch.column(0), width)
+            for j, own in cuts.items():
+                value = values[:, j]
+                cell = np.searchsorted(own, value, "left") + np.searchsorted(own, value, "right")
+                rows, low, high = total[j]
+                rows += np.bincount(cell, minlength=len(rows))
+                np.minimum.at(low, cell, value)
+                np.maximum.at(high, cell, value)
+        for j, (rows, low, high) in total.items():
+            cell = np.flatnonzero(rows)
+            columns = [np.full(len(cell), j, np.int32), cell.astype(np.int32), rows[cell], low[cell], high[cell]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["feature", "cell", "rows", "low", "high"])
+
+    cells = map_batches(arrays.select("features"), run, "feature int, cell int, rows long, low double, high double")
+    sums = cells.groupBy("feature", "cell").agg(F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return sums.orderBy("feature", "cell").collect()
+
+
+def _parts(low: float, high: float) -> np.ndarray:
+    """Cuts from low to high, both included; halves, since their distance may be beyond the largest number."""
+    most = np.finfo(float).max
+    a, b = max(low, -most) / 2, min(high, most) / 2
+    return np.clip(2 * (a + (b - a) * np.linspace(0, 1, EDGE_PARTS + 1)), low, high)
+
+
+def _edges(arrays: DataFrame, width: int, rows: int, sketched: dict[int, list[float]], bins: int) -> dict[int, np.ndarray]:
+    """Distinct quantiles of every feature at 1/bins, 2/bins ... of its rows: the smallest values with at least that
+    share of the rows up to them.
+
+    `sketched` has three values for each, whose ranks lie around the wanted one. All rows are counted between
+    and at them, and the cell with the rank is cut into parts until it holds one value. Only cells reach the driver."""
+    ranks = [max(1, -(-k * rows // bins)) for k in range(1, bins)]
+    cuts = {j: np.unique(values) for j, values in sketched.items()}
+    edges: dict[int, np.ndarray] = {}
+    while cuts:
+        found = _counted(arrays, width, cuts)
+        for j in list(cuts):
+            own = [r for r in found if r["feature"] == j]
+            upto = np.cumsum([r["rows"] for r in own])
+            cells = [own[i] for i in np.unique(np.searchsorted(upto, ranks, "left"))]
+            if all(r["low"] == r["high"] for r in cells):
+                edges[j] = np.unique([r["low"] for r in cells])
+                del cuts[j]
+            else:
+                # A cell of one value keeps it as a cut, so that it is a cell again.
+                cuts[j] = np.unique(np.concatenate([[r["low"], r["high"], *_parts(r["low"], r["high"])] for r in cells]))
+    return edges
+
+
 def binned_rows(design: DataFrame, learner, config) -> tuple[DataFrame, Boosting]:
     """The design with its features as bins, written once, and the settings that go with it.
 
-    A number's bin is how many edges lie below it; the edges are the distinct quantiles at 1/bins, 2/bins ...
-    of all rows. A label's bin is its number. `drawn` says for which trees the household is in the sample."""
+    A number's bin is how many edges lie below it; the edges are the distinct exact quantiles at 1/bins, 2/bins ...
+    of all rows, whatever the layout. A label's bin is its number. `drawn` says for which trees the household is in the sample."""
     from pyspark.ml.functions import vector_to_array
 
     nominal = nominal_features(design)
@@ -335,17 +392,23 @@ def binned_rows(design: DataFrame, learner, config) -> tuple[DataFrame, Boosting
     bins = max([learner.tree_bins, *nominal.values()])
     arrays = design.withColumn("features", vector_to_array("features"))
     numeric = [j for j in range(len(names)) if j not in nominal]
-    shares = [k / learner.tree_bins for k in range(1, learner.tree_bins)]
+    margin = 2 / SKETCH_ACCURACY
+    shares = [k / learner.tree_bins + d for k in range(1, learner.tree_bins) for d in (-margin, 0, margin)]
+    shares = [min(max(share, 0.0), 1.0) for share in shares]
     known = arrays.agg(
         F.count("*").alias("count"),
         F.max(F.abs(LABEL)).alias("largest"),
-        *[F.percentile_approx(F.col("features")[j], shares, 10_000).alias(f"edges_{j}") for j in numeric],
+        *[F.percentile_approx(F.col("features")[j], shares, SKETCH_ACCURACY).alias(f"edges_{j}") for j in numeric],
     ).first()
     settings = Boosting(
         learner.tree_iterations, learner.tree_depth, learner.tree_step, learner.tree_rows, bins, config.folds,
         len(names), tuple(sorted(nominal)), known["largest"] or 1.0, known["count"],
     )
-    edges = [np.unique(known[f"edges_{j}"] or []) if j in numeric else None for j in range(len(names))]
+    if known["count"] * margin < 1:  # the sketch has every rank
+        exact = {j: np.unique((known[f"edges_{j}"] or [])[1::3]) for j in numeric}
+    else:
+        exact = _edges(arrays, len(names), known["count"], {j: known[f"edges_{j}"] for j in numeric}, learner.tree_bins)
+    edges = [exact.get(j) for j in range(len(names))]
 
     def run(batches):
         for batch in batches:

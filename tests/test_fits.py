@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from hearthlift import schemas as S
 from hearthlift.functions.student import incomplete_beta, log_gamma, two_sided_p
 from hearthlift.operators import boosting as B
 from hearthlift.operators import estimation as E
@@ -49,6 +50,28 @@ def test_trees_from_passes_equal_those_from_tasks(binned, trees, monkeypatch):
     assert nodes(B.boosted_trees(table.repartition(5), settings)) == nodes(trees)
 
 
+def test_edges_are_exact_quantiles_of_a_table_beyond_the_sketch(spark):
+    n, bins, top = 30_000, 32, 1.7e308
+    spread = F.xxhash64("id") / F.lit(1e9)
+    ends = F.when(F.col("id") < 2_000, -top).when(F.col("id") > n - 2_000, top).otherwise(spread)
+    columns = [spread, F.col("id") % 7, F.floor(F.sqrt(F.col("id"))), ends, F.exp(F.col("id") / 50)]
+    table = spark.range(0, n, 1, 12).select(F.array(*[c.cast("double") for c in columns]).alias("features"))
+    names = [f"v{j}" for j in range(len(columns))]
+    numbers = stage(table.select(*[F.col("features")[j].alias(c) for j, c in enumerate(names)]), "numbers")
+    design = VectorAssembler(inputCols=names, outputCol="features").transform(
+        numbers.withColumns({S.HOUSEHOLD: F.col("v0").cast("string"), B.LABEL: F.lit(1.0), "treatment": F.lit(1), "fold": F.lit(0)})
+    ).drop(*names)
+    values = np.array([tuple(r) for r in numbers.collect()])
+    ordered = np.sort(values, axis=0)
+    exact = [np.unique([ordered[math.ceil(k * n / bins) - 1, j] for k in range(1, bins)]) for j in range(len(names))]
+    want = {v[0]: [int((e < x).sum()) for e, x in zip(exact, v, strict=True)] for v in values.tolist()}
+    for parts in (1, 12):
+        binned, settings = B.binned_rows(design.repartition(parts), LEARNER, CONFIG)
+        assert settings.bins == bins
+        found = {float(r[S.HOUSEHOLD]): np.frombuffer(r["bins"], "<u2").tolist() for r in binned.select(S.HOUSEHOLD, "bins").collect()}
+        assert found == want
+
+
 def test_a_folds_rows_have_no_part_in_its_models(binned, trees):
     table, settings = binned
     moved = table.withColumns({B.LABEL: F.when(F.col("fold") == 2, 900 - F.col(B.LABEL)).otherwise(F.col(B.LABEL)),
