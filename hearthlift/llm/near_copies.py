@@ -11,8 +11,9 @@ Every link is a pair whose shingle sets have been compared in full. Pairs are ta
 In each round every bucket with texts of different components has a centre, the first text in an order that
 changes from round to round, and every text is compared with one centre, the one it shares most buckets with,
 small ones counting for more. So a round compares no more pairs than there are texts, however large a bucket is, and a group of near copies is mostly
-linked by the first. After ROUNDS rounds all pairs of different components are compared in buckets of up to
-SMALL_BUCKET texts. Only in larger buckets can a link be missed, and only if no other text leads to it.
+linked by the first. After ROUNDS rounds all pairs of different components are compared: those of buckets of up to
+SMALL_BUCKET texts pair by pair, and larger buckets in blocks of about BLOCK texts, every block with every other, a
+task needing the texts of two blocks only. So no link between texts of one bucket is missed.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthlift.llm.common import byte_strings, discard, free_name, map_arrow, mixed, powers, stage, text_slices
+from hearthlift.llm.common import byte_strings, discard, free_name, map_arrow, mixed, powers, stage, text_slices, workers_can_import
 from hearthlift.llm.components import components
 from hearthlift.llm.simhash import leading_bits, links
 
@@ -30,7 +31,7 @@ SHINGLE_WORDS = 5
 # Similarity of near copies: SHARED / OF at least.
 SHARED, OF = 4, 5
 BANDS, ROWS = 40, 8
-ROUNDS, SMALL_BUCKET = 3, 16
+ROUNDS, SMALL_BUCKET, BLOCK = 3, 16, 128
 # Keys of rows up to which a join copies them to all tasks.
 BROADCAST_KEYS = 1_000_000
 SEED = 42
@@ -205,6 +206,58 @@ def _with(frame: DataFrame | None, more: DataFrame) -> DataFrame:
     return more if frame is None else frame.union(more)
 
 
+def _links_of_tile(keys: list, roots: list, blocks: list, sets: list[np.ndarray]) -> list[tuple]:
+    """Links that connect the components of a tile's texts as all links between different blocks would, or all links
+    if there is one block."""
+    known, sizes = {r: r for r in roots}, np.array([len(s) for s in sets])
+    starts = np.append(0, np.cumsum(sizes)[:-1])
+    shingles, block = np.unique(np.concatenate(sets), return_inverse=True)[1], np.array(blocks)
+    one_block = bool((block == block[0]).all())
+    present, found = np.zeros(shingles.max() + 1, bool), []
+
+    def find(x):
+        while known[x] != x:
+            known[x] = x = known[known[x]]
+        return x
+
+    for i in range(len(keys) - 1):
+        own = shingles[starts[i] : starts[i] + sizes[i]]
+        present[own] = True
+        both = np.add.reduceat(present[shingles[starts[i + 1] :]], starts[i + 1 :] - starts[i + 1], dtype=np.int64)
+        present[own] = False
+        linked = OF * both >= SHARED * (sizes[i] + sizes[i + 1 :] - both)
+        if not one_block:
+            linked &= block[i + 1 :] != block[i]
+        for j in (np.flatnonzero(linked) + i + 1).tolist():
+            x, y = find(roots[i]), find(roots[j])
+            if x != y:
+                known[x] = y
+                found.append((keys[i], keys[j]))
+    return found
+
+
+def _linked_in_blocks(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b: links that connect all near copies within each of the buckets, of rows bucket, key, size and root.
+
+    A bucket is dealt to blocks by hash, and a tile holds two blocks, or one with itself."""
+    workers_can_import(rows.sparkSession)
+    blocks = F.ceil(F.col("size") / BLOCK)
+    own = rows.withColumn("block", F.pmod(F.xxhash64("key"), blocks))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    tiles = own.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "root")
+    tiles = tiles.join(texts.select("key", "text"), "key")
+
+    def run(table: pa.Table) -> pa.Table:
+        column = {name: table.column(name).to_pylist() for name in ("key", "root", "block")}
+        own_texts, found = byte_strings(table.column("text")), []
+        if len(set(column["root"])) > 1:
+            sets = [s for x, y in text_slices(own_texts) for s in shingle_sets(own_texts[x:y])]
+            found = _links_of_tile(column["key"], column["root"], column["block"], sets)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return tiles.groupBy("bucket", "low", "high").applyInArrow(run, "a long, b long")
+
+
 def near_links(shared: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b: links that connect what the buckets (bucket, key, size) let find."""
     found, tested = None, None
@@ -215,11 +268,13 @@ def near_links(shared: DataFrame, texts: DataFrame) -> DataFrame:
         if pairs.isEmpty():
             break
         found = _with(found, stage(verified(pairs, texts), "near-links"))
-    small = _open(shared, found).where(F.col("size") <= SMALL_BUCKET)
+    rows = _open(shared, found)
+    small, large = rows.where(F.col("size") <= SMALL_BUCKET), rows.where(F.col("size") > SMALL_BUCKET)
     other = small.select("bucket", F.col("key").alias("b"), F.col("root").alias("root_b"))
     crossing = small.join(other, "bucket").where("root <> root_b and key < b")
     crossing = stage(_untested(crossing.select(F.col("key").alias("a"), "b").distinct(), tested), "near-pairs")
-    return _with(found, stage(verified(crossing, texts), "near-links"))
+    found = _with(found, stage(verified(crossing, texts), "near-links"))
+    return found.union(stage(_linked_in_blocks(large, texts), "near-links"))
 
 
 def _copied(keys: DataFrame) -> DataFrame:

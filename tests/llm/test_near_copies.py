@@ -160,3 +160,18 @@ def test_a_large_bucket_of_groups(spark, monkeypatch):
     assert max(compared) <= 200 and len(compared) <= near_copies.ROUNDS + 1
     linked = {k for pair in links for k in pair}
     assert len(linked) == 200
+
+
+def test_all_pairs_of_a_large_bucket_are_compared(spark, monkeypatch):
+    """Pairs of near copies that share no bucket but one of all texts: rounds find a few, the blocks the others."""
+    monkeypatch.setattr(near_copies, "BLOCK", 16)
+    rng = random.Random(9)
+    rows = []
+    for pair in range(60):
+        words = [f"p{pair}w{k}" for k in range(20 + 5 * pair)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join([*words, f"x{rng.random()}"]))]
+    rows.append((120, ""))
+    frame = spark.createDataFrame(rows, "key long, text string")
+    shared = spark.createDataFrame([(1, k, len(rows)) for k, _ in rows], "bucket long, key long, size long")
+    links = {tuple(sorted(r)) for r in near_copies.near_links(shared, frame).collect()}
+    assert links == {(2 * pair, 2 * pair + 1) for pair in range(60)}
