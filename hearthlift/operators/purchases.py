@@ -68,16 +68,16 @@ _MEASURES = {
 def household_purchases(conversions: DataFrame, config: CampaignConfig) -> DataFrame:
     """Counts and sums per household from household conversions.
 
-    Two aggregations: first per household and order (and, as further grouping sets, per household
-    and banner and per household and division), then per household. Distinct orders, banners and
-    divisions are then plain counts of groups; distinct days and weeks are bits in fixed long
-    buffers. Rows are therefore expanded three-fold rather than once per distinct count, and a very
-    large household is spread over its orders before it is brought together.
+    Two aggregations: first per household and order, and of the baseline's banners and divisions the distinct
+    ones per household, which carry no sums; then all of these per household. Distinct orders, banners and
+    divisions are then plain counts of groups; distinct days and weeks are bits in fixed long buffers. A purchase
+    is thus shuffled once with its sums, however much is counted, and a very large household is spread over its
+    orders before it is brought together. Reads `conversions` twice: pass a written table.
     """
     df = prepared_conversions(conversions)
     windows = purchase_windows(config)
     baseline = windows["baseline_12m"]
-    kinds = ["order_id", *[c for c in ("banner", "division") if c in df.columns]]
+    labels = [c for c in ("banner", "division") if c in df.columns]
 
     monday = monday_of(config.baseline_start)
     weeks = (config.baseline_end - monday).days // 7 + 1
@@ -89,8 +89,7 @@ def household_purchases(conversions: DataFrame, config: CampaignConfig) -> DataF
     # Revenue is summed in decimals, so that the order of rows cannot move a sum across a tier's edge.
     sums = {revenue: f"{windows[name]} AND amount > 0, amount" for name, (_, revenue, _) in _MEASURES.items()}
     sums |= {quantity: f"{windows[name]}, quantity" for name, (_, _, quantity) in _MEASURES.items() if quantity}
-    groups = df.groupingSets([[S.HOUSEHOLD, kind] for kind in kinds], S.HOUSEHOLD, *kinds).agg(
-        *[F.expr(f"grouping({kind}) AS not_{kind}") for kind in kinds],
+    groups = df.groupBy(S.HOUSEHOLD, "order_id").agg(
         *[F.expr(f"max(IF({condition}, 1, 0)) AS in_{name}") for name, condition in windows.items()],
         *[F.expr(f"sum(IF({value}, 0)) AS {name}") for name, value in sums.items()],
         F.expr(f"count_if({baseline} AND amount < 0) AS returns"),
@@ -99,19 +98,22 @@ def household_purchases(conversions: DataFrame, config: CampaignConfig) -> DataF
         *[F.expr(f"{aggregate} AS {name}") for name, aggregate in words.items()],
     )
 
-    def distinct(kind: str, condition: str, name: str):
-        if kind not in kinds:
-            return F.expr(f"CAST(max(0) AS BIGINT) AS {name}")
-        return F.expr(f"count_if(not_{kind} = 0 AND {kind} IS NOT NULL AND {condition}) AS {name}")
+    groups = groups.withColumn("kind", F.lit("order"))
+    for label in labels:
+        seen = df.where(f"{baseline} AND {label} IS NOT NULL").select(S.HOUSEHOLD, label).distinct()
+        groups = groups.unionByName(seen.select(S.HOUSEHOLD, F.lit(label).alias("kind")), allowMissingColumns=True)
+
+    def distinct(label: str, name: str):
+        return F.expr(f"count_if(kind = '{label}') AS {name}")
 
     return (
         groups.groupBy(S.HOUSEHOLD)
         .agg(
-            *[distinct("order_id", f"in_{name} = 1", orders) for name, (orders, _, _) in _MEASURES.items()],
-            *[F.expr(f"CAST(sum(IF(not_order_id = 0, {name}, 0)) AS DOUBLE) AS {name}") for name in sums],
-            F.expr("sum(IF(not_order_id = 0, returns, 0L)) AS baseline_12m_negative_transaction_count"),
-            distinct("banner", "in_baseline_12m = 1", "baseline_12m_distinct_banners"),
-            distinct("division", "in_baseline_12m = 1", "baseline_12m_distinct_divisions"),
+            *[F.expr(f"count_if(order_id IS NOT NULL AND in_{name} = 1) AS {orders}") for name, (orders, _, _) in _MEASURES.items()],
+            *[F.expr(f"CAST(sum({name}) AS DOUBLE) AS {name}") for name in sums],
+            F.expr("sum(returns) AS baseline_12m_negative_transaction_count"),
+            distinct("banner", "baseline_12m_distinct_banners"),
+            distinct("division", "baseline_12m_distinct_divisions"),
             F.expr("min(first_day) AS first_baseline_day"),
             F.expr("max(last_day) AS last_baseline_day"),
             *[F.expr(f"bit_or({name}) AS {name}") for name in words],

@@ -315,3 +315,19 @@ def test_whole_campaign_run(spark):
     assert {r.design for r in tables["lift"].collect()} == {"psm_linear", "strata_linear"}
     assert "placebo_passed" in tables["placebo"].columns
     assert tables["match_report"].count() == 1
+
+
+def test_purchases_are_shuffled_once_with_their_sums(spark, tmp_path):
+    """The shuffle by order carries a row a purchase at most; distinct banners and divisions carry no sums."""
+    schema = "addressLink string, order_id string, banner string, division string, transaction_date date, transaction_amount double, quantity int, is_campaign_product int"
+    day = CAMPAIGN.baseline_start
+    rows = [("h1", "o1", "x", "u", day, 2.0, 1, 0), ("h1", "o1", "y", None, day, 3.0, 1, 1), ("h1", None, "x", "u", day, -1.0, 1, 0),
+            ("h1", "o2", None, "v", day, 5.0, 2, 0), ("h1", "o3", "z", "w", CAMPAIGN.flight_start, 7.0, 1, 0), ("h2", "o4", "z", "w", CAMPAIGN.flight_start, 7.0, 1, 1)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/bought")
+    found = household_purchases(spark.read.parquet(f"{tmp_path}/bought"), CAMPAIGN)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    columns = ["baseline_12m_orders", "baseline_12m_distinct_banners", "baseline_12m_distinct_divisions", "baseline_12m_revenue_sum",
+               "baseline_12m_negative_transaction_count", "outcome_total_campaign_orders"]
+    got = {r[S.HOUSEHOLD]: tuple(r[c] for c in columns) for r in found.collect()}
+    assert got == {"h1": (2, 2, 2, 10.0, 1, 1), "h2": (0, 0, 0, 0.0, 0, 1)}
