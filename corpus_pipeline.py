@@ -1,6 +1,6 @@
 """From raw documents to packed training sequences.
 
-Five stages, each a function of (spark, docs, sf_dir) on all that the stage before kept. All but the last
+Six stages, each a function of (spark, docs, sf_dir) on all that the stage before kept. All but the last
 return the columns of documents; what a stage returns is written as Parquet and read again by the next.
 """
 
@@ -15,7 +15,7 @@ from hearthlift.llm.exact_dedup import without_copies
 from hearthlift.llm.near_copies import without_near_copies
 from hearthlift.llm.packing import pack
 from hearthlift.llm.quality_rules import passing
-from hearthlift.llm.suffix_index import cut_documents
+from hearthlift.llm.suffix_index import WORDS, cut_documents
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +33,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_near_copies(docs)
 
 
+def _counted_again(cut: DataFrame) -> DataFrame:
+    return cut.withColumn("n_chars", F.length("text").cast(cut.schema["n_chars"].dataType))
+
+
+def word_passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of over 50 words found elsewhere are cut out, however short; every document stays."""
+    return _counted_again(cut_documents(docs, unit=WORDS))
+
+
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 400 bytes or more found elsewhere are cut out; every document stays."""
-    cut = cut_documents(docs)
-    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return _counted_again(cut_documents(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,6 +56,7 @@ STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
     ("simhash near-dedup", near_dedup),
+    ("word-passage dedup", word_passage_dedup),
     ("suffix-array dedup", passage_dedup),
     ("packing", packing),
 ]

@@ -17,11 +17,16 @@ of two members or more repeats in whole. For the other entries of a suffix with
 the anchors are fetched, every window start is looked up by the hash of its MATCH bytes, and what is found is
 compared byte by byte, so spans are exact. Members of one class, and windows of suffixes with very many
 classes, are compared by two 64-bit hashes and the eight bytes.
+
+Words. The same works on texts whose every word is replaced by the eight bytes of its hash. Then a match is a run of
+words, whatever white space stands between them, and only windows that begin with a word count.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +36,8 @@ from pyspark.sql import functions as F
 from hearthlift.llm.common import byte_strings, discard, free_name, map_arrow, mixed, powers, read, stage, text_slices
 
 MATCH, GRAM = 400, 32
+# A repeated run of words has so many at least: over 50.
+MATCH_WORDS, WORD_BYTES = 51, 8
 # Anchors of a batch, and most batches: they follow one another, so a larger corpus has larger ones.
 BATCH_ENTRIES, MOST_BATCHES, PART_ENTRIES = 1 << 19, 32, 1 << 18
 # Bytes of a text looked at in one piece; longer texts are cut into pieces that overlap.
@@ -50,6 +57,7 @@ ENTRY = "a int, lo int, hi int, lead long, kh long, ck long"
 KEY = ["doc_id", "text_hash"]
 # What a suffix is ordered and matched by.
 SUFFIX = ["lead", "kh"]
+_WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -82,6 +90,56 @@ class _Hashes:
         return (self.sums[n:] - self.sums[:count]) * self.inverse[:count]
 
 
+def word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of every word, and the byte behind it."""
+    edges = np.diff(_WHITE[data].astype(np.int8), prepend=1, append=1)
+    return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+
+
+def word_codes(texts: list[bytes]) -> list[bytes]:
+    """Every text as the hashes of its words, WORD_BYTES each."""
+    out: list[bytes] = []
+    for x, y in text_slices(texts):
+        data = np.frombuffer(b" ".join([*texts[x:y], b""]), np.uint8)
+        starts, ends = word_edges(data)
+        hashes = mixed(_Hashes(data, _BASES[0]).of(starts, ends) + (ends - starts).astype(np.uint64))
+        codes = hashes.astype("<u8").tobytes()
+        stops = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts[x:y]])) * WORD_BYTES
+        out += [codes[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
+    return out
+
+
+def word_places(text: bytes, starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
+    """Byte ranges of the runs of words that ranges of a text's code hold, windows within a word left out."""
+    first = -(-np.array(starts) // WORD_BYTES)
+    last = (np.array(ends) - MATCH_WORDS * WORD_BYTES) // WORD_BYTES
+    real = first <= last
+    runs = covered(first[real], last[real] + MATCH_WORDS)
+    begin, behind = word_edges(np.frombuffer(text, np.uint8))
+    return [int(begin[a]) for a, _ in runs], [int(behind[b - 1]) for _, b in runs]
+
+
+class Unit(NamedTuple):
+    """What passages are counted in: the code of texts that is indexed, the bytes of it that a repeated string has at
+    least, and the place in a text of ranges of its code."""
+
+    match: int
+    code: Callable[[list[bytes]], list[bytes]]
+    places: Callable[[bytes, list[int], list[int]], tuple[list[int], list[int]]]
+
+
+def _own_bytes(texts: list[bytes]) -> list[bytes]:
+    return texts
+
+
+def _own_places(text: bytes, starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
+    return starts, ends
+
+
+BYTES = Unit(MATCH, _own_bytes, _own_places)
+WORDS = Unit(MATCH_WORDS * WORD_BYTES, word_codes, word_places)
+
+
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """Smallest of every `width` neighbours, from running minima within blocks of that width."""
     n = len(values)
@@ -139,14 +197,14 @@ def keyed_documents(docs: DataFrame, id_column: str, text_column: str) -> DataFr
     return docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def indexed_anchors(keyed: DataFrame) -> DataFrame:
+def indexed_anchors(keyed: DataFrame, unit: Unit = BYTES) -> DataFrame:
     """Anchors of every text."""
 
     def run(batches):
         for batch in batches:
-            texts = byte_strings(batch.column(2))
+            texts = unit.code(byte_strings(batch.column(2)))
             for x, y in text_slices(texts):
-                own, *columns = anchors(texts[x:y])
+                own, *columns = anchors(texts[x:y], unit.match)
                 take = pa.array(own + x)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -221,8 +279,8 @@ def _sized(table: DataFrame, numbers: int) -> DataFrame:
     return F.broadcast(table) if numbers * table.count() <= BROADCAST_NUMBERS else table
 
 
-def contexts(keyed: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges with `bytes`, the text from lo to hi + MATCH. Texts and the edges of each are shuffled to each other
+def contexts(keyed: DataFrame, edges: DataFrame, unit: Unit = BYTES) -> DataFrame:
+    """Edges with `bytes`, the code of the text from lo to the end of the window at hi. Texts and the edges of each are shuffled to each other
     whatever their number."""
     lists = edges.groupBy(*[F.col(c).alias(f"_{c}") for c in KEY]).agg(
         F.collect_list(F.struct("kh", "n", "a", "lo", "hi")).alias("edges")
@@ -234,14 +292,14 @@ def contexts(keyed: DataFrame, edges: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = byte_strings(batch.column(3))
+            texts = unit.code(byte_strings(batch.column(3)))
             for x in range(len(texts)):
                 rows = batch.column(2)[x].as_py()
                 text = texts[x]
                 own = pa.array([x] * len(rows))
                 columns = [pa.array([r[c] for r in rows], pa.int64()) for c in ("kh", "n")]
                 columns += [pa.array([r[c] for r in rows], pa.int32()) for c in ("a", "lo", "hi")]
-                cut = pa.array([text[r["lo"] : r["hi"] + MATCH] for r in rows], pa.binary())
+                cut = pa.array([text[r["lo"] : r["hi"] + unit.match] for r in rows], pa.binary())
                 arrays = [batch.column(0).take(own), batch.column(1).take(own), *columns, cut]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
@@ -250,8 +308,10 @@ def contexts(keyed: DataFrame, edges: DataFrame) -> DataFrame:
     return map_arrow(joined, run, schema)
 
 
-def _equal_windows(cut: list[bytes], row: np.ndarray, inside: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether another window has the same MATCH bytes: windows of one hash are neighbours once sorted, and
+def _equal_windows(
+    cut: list[bytes], row: np.ndarray, inside: np.ndarray, hashes: np.ndarray, match: int = MATCH
+) -> np.ndarray:
+    """Whether another window has the same `match` bytes, a multiple of eight: windows of one hash are neighbours once sorted, and
     neighbours are compared byte by byte, eight at a time."""
     order = np.argsort(hashes, kind="stable")
     ordered = hashes[order]
@@ -263,7 +323,7 @@ def _equal_windows(cut: list[bytes], row: np.ndarray, inside: np.ndarray, hashes
     sizes = np.array([len(c) for c in cut])
     at = (np.cumsum(sizes) - sizes)[row] + inside
     words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
-    steps = np.arange(0, MATCH, 8)
+    steps = np.arange(0, match, 8)
     differ = np.zeros(len(same), bool)
     for a in range(0, len(same), 2048):
         part = same[a : a + 2048]
@@ -273,26 +333,26 @@ def _equal_windows(cut: list[bytes], row: np.ndarray, inside: np.ndarray, hashes
     for k in np.unique(ordered[same[differ]]).tolist():  # different windows of one hash
         groups: dict[bytes, list[int]] = {}
         for w in np.flatnonzero(hashes == np.uint64(k)).tolist():
-            groups.setdefault(data[at[w] : at[w] + MATCH], []).append(w)
+            groups.setdefault(data[at[w] : at[w] + match], []).append(w)
         for group in groups.values():
             hit[group] = len(group) > 1
     return hit
 
 
-def _window_hashes(cut: list[bytes], kh: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _window_hashes(cut: list[bytes], kh: np.ndarray, match: int = MATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every window start of every context: its row, its number within the row, its hash."""
     if len(cut) > CHUNK:
-        parts = [_window_hashes(cut[x : x + CHUNK], kh[x : x + CHUNK]) for x in range(0, len(cut), CHUNK)]
+        parts = [_window_hashes(cut[x : x + CHUNK], kh[x : x + CHUNK], match) for x in range(0, len(cut), CHUNK)]
         rows = [own + k * CHUNK for k, (own, _, _) in enumerate(parts)]
         return np.concatenate(rows), *(np.concatenate([p[i] for p in parts]) for i in (1, 2))
     sizes = np.array([len(c) for c in cut])
     begin = np.cumsum(sizes) - sizes
     hashes = _Hashes(np.frombuffer(b"".join(cut), np.uint8), _BASES[1])
-    counts = sizes - MATCH + 1
+    counts = sizes - match + 1
     row = np.repeat(np.arange(len(cut)), counts)
     inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = begin[row] + inside
-    return row, inside, mixed(hashes.of(at, at + MATCH)) ^ kh[row]
+    return row, inside, mixed(hashes.of(at, at + match)) ^ kh[row]
 
 
 def _spans(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -303,19 +363,19 @@ def _spans(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[new], start[new], start[np.append(new[1:], len(row)) - 1]
 
 
-def _repeated_in_task(found: DataFrame, schema: str) -> DataFrame:
+def _repeated_in_task(found: DataFrame, schema: str, match: int) -> DataFrame:
     """Spans of single entries whose windows another entry of the same anchor has, an anchor in one task."""
 
     def decide(table: pa.Table) -> pa.RecordBatch:
         kh = table.column("kh").to_numpy().view(np.uint64)
         cut = table.column("bytes").to_pylist()
-        row, inside, hashes = _window_hashes(cut, kh)
-        hit = _equal_windows(cut, row, inside, hashes)
+        row, inside, hashes = _window_hashes(cut, kh, match)
+        hit = _equal_windows(cut, row, inside, hashes, match)
         hit &= table.column("n").to_numpy()[row] == 1
         own, a, b = _spans(row[hit], inside[hit])
         lo = table.column("lo").to_numpy()[own]
         keys = [table.column(c).take(pa.array(own)).combine_chunks() for c in KEY]
-        ends = [pa.array((lo + a).astype(np.int32)), pa.array((lo + b + MATCH).astype(np.int32))]
+        ends = [pa.array((lo + a).astype(np.int32)), pa.array((lo + b + match).astype(np.int32))]
         return pa.RecordBatch.from_arrays([*keys, *ends], [*KEY, "s", "e"])
 
     def run(batches):
@@ -338,7 +398,7 @@ def _repeated_in_task(found: DataFrame, schema: str) -> DataFrame:
     return map_arrow(found.repartition("kh").sortWithinPartitions("kh"), run, schema)
 
 
-def _repeated_by_shuffle(found: DataFrame, schema: str) -> DataFrame:
+def _repeated_by_shuffle(found: DataFrame, schema: str, match: int) -> DataFrame:
     """The same for anchors of very many classes: hashes of window starts are counted, equal ones first in
     each task, and lead back to their places."""
 
@@ -347,7 +407,7 @@ def _repeated_by_shuffle(found: DataFrame, schema: str) -> DataFrame:
             for x in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(x, CHUNK)
                 kh = part.column("kh").to_numpy().view(np.uint64)
-                row, inside, hashes = _window_hashes(part.column("bytes").to_pylist(), kh)
+                row, inside, hashes = _window_hashes(part.column("bytes").to_pylist(), kh, match)
                 own = pa.array(row)
                 start = part.column("lo").to_numpy()[row] + inside
                 keys = [part.column(c).take(own) for c in ("doc_id", "text_hash", "n", "kh")]
@@ -358,13 +418,13 @@ def _repeated_by_shuffle(found: DataFrame, schema: str) -> DataFrame:
     windows = map_arrow(found, run, f"doc_id {kind}, text_hash long, n long, kh long, s int, h long")
     more = windows.groupBy("kh", "h").agg(F.count("*").alias("times")).where("times > 1").select("kh", "h")
     hit = windows.where("n = 1").join(more, ["kh", "h"], "left_semi")
-    return hit.select("doc_id", "text_hash", "s", (F.col("s") + MATCH).alias("e"))
+    return hit.select("doc_id", "text_hash", "s", (F.col("s") + match).alias("e"))
 
 
-def repeated_spans(keyed: DataFrame, batches: int | None = None) -> DataFrame:
-    """Written table of doc_id, text_hash, s and e: byte ranges of strings of MATCH bytes or more found elsewhere;
-    they may overlap. `batches` instead of a number that follows the counted anchors."""
-    entries = stage(indexed_anchors(keyed), "suffix-anchors")
+def repeated_spans(keyed: DataFrame, batches: int | None = None, unit: Unit = BYTES) -> DataFrame:
+    """Written table of doc_id, text_hash, s and e: ranges of the texts' code that hold strings of the unit's match or
+    more found elsewhere; they may overlap. `batches` instead of a number that follows the counted anchors."""
+    entries = stage(indexed_anchors(keyed, unit), "suffix-anchors")
     indexed = entries.count()
     batches = batches or min(MOST_BATCHES, max(1, -(-indexed // BATCH_ENTRIES)))
     hits = repeated_suffixes(entries, batches, max(1, indexed // batches // PART_ENTRIES))
@@ -375,22 +435,22 @@ def repeated_spans(keyed: DataFrame, batches: int | None = None) -> DataFrame:
     classes = stage(repeated.groupBy(*SUFFIX, "ck").agg(F.count("*").alias("n"), *member), "suffix-classes")
     whole = stage(classes.where("n > 1").select("kh", "ck"), "suffix-whole")
     inside = repeated.join(_sized(whole, 2), ["kh", "ck"], "left_semi").select(
-        *KEY, F.col("lo").alias("s"), (F.col("hi") + MATCH).alias("e")
+        *KEY, F.col("lo").alias("s"), (F.col("hi") + unit.match).alias("e")
     )
     several = classes.groupBy("kh").agg(F.count("*").alias("m")).where("m > 1")
     several = stage(several, "suffix-several")
     edges = stage(classes.join(_sized(several, 2).select("kh"), "kh", "left_semi"), "suffix-edges")
-    found = contexts(keyed, edges)
+    found = contexts(keyed, edges, unit)
     kind = keyed.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash long, s int, e int"
     large = stage(several.where(F.col("m") > TASK_CLASSES), "suffix-large")
     if large.count() == 0:
-        spans = inside.union(_repeated_in_task(found, schema))
+        spans = inside.union(_repeated_in_task(found, schema, unit.match))
     else:
         found = stage(found, "suffix-contexts")
         few = found.join(_sized(large, 2), "kh", "left_anti").select(found.columns)
         many = found.join(_sized(large, 2), "kh", "left_semi").select(found.columns)
-        spans = inside.union(_repeated_in_task(few, schema)).union(_repeated_by_shuffle(many, schema))
+        spans = inside.union(_repeated_in_task(few, schema, unit.match)).union(_repeated_by_shuffle(many, schema, unit.match))
     spans = stage(spans, "suffix-spans")
     for table in (hits, repeated, classes, whole, several, edges, large):
         discard(table)
@@ -422,11 +482,11 @@ def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
-def _span_lists(keyed: DataFrame, batches: int | None, names: list[str]) -> DataFrame:
+def _span_lists(keyed: DataFrame, batches: int | None, names: list[str], unit: Unit = BYTES) -> DataFrame:
     """One row per text with spans: its key, and the ends of all of them, under four names."""
     doc_id, text_hash, starts, ends = names
     return (
-        repeated_spans(keyed, batches)
+        repeated_spans(keyed, batches, unit)
         .groupBy(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash))
         .agg(F.collect_list("s").alias(starts), F.collect_list("e").alias(ends))
     )
@@ -485,17 +545,18 @@ def without_passages(
 
 
 def cut_documents(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int | None = None
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int | None = None, unit: Unit = BYTES
 ) -> DataFrame:
     """`docs` with all rows and columns, its texts without repeated passages, cut at whole characters.
 
-    Otherwise as `without_passages`; a missing text stays missing. Columns may have any names: those needed here
+    Otherwise as `without_passages`; a missing text stays missing. With the unit WORDS, runs of over 50 words go that
+    also stand elsewhere, with the white space within them; that around them stays. Columns may have any names: those needed here
     take names that are free."""
     position = docs.columns.index(text_column)
     own = [free_name(docs, n) for n in ("key", "key_hash", "starts", "ends")]
     hashed = free_name(docs, "own_hash")
     texts = docs.withColumn(hashed, F.xxhash64(F.coalesce(F.col(f"`{text_column}`"), F.lit(""))))
-    lists = _span_lists(keyed_documents(docs, id_column, text_column), batches, own)
+    lists = _span_lists(keyed_documents(docs, id_column, text_column), batches, own, unit)
     joined = texts.join(lists, _same_key([id_column, hashed], own), "left")
     joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], *own[2:])
 
@@ -505,7 +566,8 @@ def cut_documents(
             ends = zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True)
             for x, (s, e) in enumerate(ends):
                 if s:
-                    texts[x] = _cut(texts[x].encode(), s, e, True)[1].decode()
+                    text = texts[x].encode()
+                    texts[x] = _cut(text, *unit.places(text, s, e), True)[1].decode()
             columns = [*batch.columns[:-2]]
             columns[position] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, docs_names)
