@@ -202,9 +202,9 @@ def indexed_anchors(keyed: DataFrame, unit: Unit = BYTES) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = unit.code(byte_strings(batch.column(2)))
+            texts = byte_strings(batch.column(2))
             for x, y in text_slices(texts):
-                own, *columns = anchors(texts[x:y], unit.match)
+                own, *columns = anchors(unit.code(texts[x:y]), unit.match)
                 take = pa.array(own + x)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -292,10 +292,10 @@ def contexts(keyed: DataFrame, edges: DataFrame, unit: Unit = BYTES) -> DataFram
 
     def run(batches):
         for batch in batches:
-            texts = unit.code(byte_strings(batch.column(3)))
+            texts = byte_strings(batch.column(3))
             for x in range(len(texts)):
                 rows = batch.column(2)[x].as_py()
-                text = texts[x]
+                (text,) = unit.code(texts[x : x + 1])
                 own = pa.array([x] * len(rows))
                 columns = [pa.array([r[c] for r in rows], pa.int64()) for c in ("kh", "n")]
                 columns += [pa.array([r[c] for r in rows], pa.int32()) for c in ("a", "lo", "hi")]
