@@ -38,6 +38,9 @@ from hearthlift.llm.common import byte_strings, discard, free_name, map_arrow, m
 MATCH, GRAM = 400, 32
 # A repeated run of words has so many at least: over 50.
 MATCH_WORDS, WORD_BYTES = 51, 8
+# Batches of word anchors, always so many: every batch is joined with all levels, so a number that follows the corpus
+# would shuffle more than in proportion to it.
+WORD_BATCHES = 4
 # Anchors of a batch, and most batches: they follow one another, so a larger corpus has larger ones.
 BATCH_ENTRIES, MOST_BATCHES, PART_ENTRIES = 1 << 19, 32, 1 << 18
 # Bytes of a text looked at in one piece; longer texts are cut into pieces that overlap.
@@ -109,21 +112,27 @@ def word_codes(texts: list[bytes]) -> list[bytes]:
     return out
 
 
-def word_places(text: bytes, starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
-    """Byte ranges of the runs of words that ranges of a text's code hold, windows within a word left out."""
+def word_runs(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
+    """Runs of words, by their numbers, that ranges of a text's code hold, windows within a word left out."""
     first = -(-np.array(starts) // WORD_BYTES)
     last = (np.array(ends) - MATCH_WORDS * WORD_BYTES) // WORD_BYTES
     real = first <= last
-    runs = covered(first[real], last[real] + MATCH_WORDS)
+    return covered(first[real], last[real] + MATCH_WORDS)
+
+
+def word_places(text: bytes, starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
+    """Byte ranges of the runs of words that ranges of a text's code hold."""
+    runs = word_runs(starts, ends)
     begin, behind = word_edges(np.frombuffer(text, np.uint8))
     return [int(begin[a]) for a, _ in runs], [int(behind[b - 1]) for _, b in runs]
 
 
 class Unit(NamedTuple):
     """What passages are counted in: the code of texts that is indexed, the bytes of it that a repeated string has at
-    least, and the place in a text of ranges of its code."""
+    least, the bytes from one window start to the next, and the place in a text of ranges of its code."""
 
     match: int
+    step: int
     code: Callable[[list[bytes]], list[bytes]]
     places: Callable[[bytes, list[int], list[int]], tuple[list[int], list[int]]]
 
@@ -136,8 +145,8 @@ def _own_places(text: bytes, starts: list[int], ends: list[int]) -> tuple[list[i
     return starts, ends
 
 
-BYTES = Unit(MATCH, _own_bytes, _own_places)
-WORDS = Unit(MATCH_WORDS * WORD_BYTES, word_codes, word_places)
+BYTES = Unit(MATCH, 1, _own_bytes, _own_places)
+WORDS = Unit(MATCH_WORDS * WORD_BYTES, WORD_BYTES, word_codes, word_places)
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -151,7 +160,7 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(texts: list[bytes], match: int = MATCH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def anchors(texts: list[bytes], match: int = MATCH, gram: int = GRAM, step: int = 1) -> tuple[np.ndarray, ...]:
     """Text number, a, lo, hi, lead, kh and ck of every anchor of every text."""
     owner, begin, parts = [], [], []
     for k, text in enumerate(texts):
@@ -161,13 +170,13 @@ def anchors(texts: list[bytes], match: int = MATCH, gram: int = GRAM) -> tuple[n
             parts.append(text[at : at + PIECE + match - 1])
     found: list[tuple[np.ndarray, ...]] = []
     for x, y in text_slices(parts, PIECE):
-        found.append(_piece_anchors(parts[x:y], owner[x:y], begin[x:y], match, gram))
+        found.append(_piece_anchors(parts[x:y], owner[x:y], begin[x:y], match, gram, step))
     if not found:
         return tuple(np.zeros(0, t) for t in (*[np.int64] * 4, *[np.uint64] * 3))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def _piece_anchors(parts, owner, begin, match, gram):
+def _piece_anchors(parts, owner, begin, match, gram, step):
     data = np.frombuffer(b"".join(parts), np.uint8)
     sizes = np.array([len(p) for p in parts])
     ends = np.cumsum(sizes)
@@ -178,6 +187,8 @@ def _piece_anchors(parts, owner, begin, match, gram):
     least = sliding_minimum(keyed, match - gram + 1)
     piece = np.repeat(np.arange(len(parts)), sizes)[: len(least)]
     starts = np.flatnonzero(np.arange(len(least)) + match <= ends[piece])
+    if step > 1:
+        starts = starts[(starts - (ends - sizes)[piece[starts]]) % step == 0]
     at = (least[starts] & mask).astype(np.int64)
     new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     a, lo, hi = at[new], starts[new], starts[np.append(new[1:], len(at)) - 1]
@@ -204,7 +215,7 @@ def indexed_anchors(keyed: DataFrame, unit: Unit = BYTES) -> DataFrame:
         for batch in batches:
             texts = byte_strings(batch.column(2))
             for x, y in text_slices(texts):
-                own, *columns = anchors(unit.code(texts[x:y]), unit.match)
+                own, *columns = anchors(unit.code(texts[x:y]), unit.match, step=unit.step)
                 take = pa.array(own + x)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -293,9 +304,9 @@ def contexts(keyed: DataFrame, edges: DataFrame, unit: Unit = BYTES) -> DataFram
     def run(batches):
         for batch in batches:
             texts = byte_strings(batch.column(3))
-            for x in range(len(texts)):
+            coded = (code for x, y in text_slices(texts) for code in unit.code(texts[x:y]))
+            for x, text in enumerate(coded):
                 rows = batch.column(2)[x].as_py()
-                (text,) = unit.code(texts[x : x + 1])
                 own = pa.array([x] * len(rows))
                 columns = [pa.array([r[c] for r in rows], pa.int64()) for c in ("kh", "n")]
                 columns += [pa.array([r[c] for r in rows], pa.int32()) for c in ("a", "lo", "hi")]
@@ -339,43 +350,44 @@ def _equal_windows(
     return hit
 
 
-def _window_hashes(cut: list[bytes], kh: np.ndarray, match: int = MATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every window start of every context: its row, its number within the row, its hash."""
+def _window_hashes(cut: list[bytes], kh: np.ndarray, unit: Unit = BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every window start of every context: its row, its place within the row, its hash."""
+    match, step = unit.match, unit.step
     if len(cut) > CHUNK:
-        parts = [_window_hashes(cut[x : x + CHUNK], kh[x : x + CHUNK], match) for x in range(0, len(cut), CHUNK)]
+        parts = [_window_hashes(cut[x : x + CHUNK], kh[x : x + CHUNK], unit) for x in range(0, len(cut), CHUNK)]
         rows = [own + k * CHUNK for k, (own, _, _) in enumerate(parts)]
         return np.concatenate(rows), *(np.concatenate([p[i] for p in parts]) for i in (1, 2))
     sizes = np.array([len(c) for c in cut])
     begin = np.cumsum(sizes) - sizes
     hashes = _Hashes(np.frombuffer(b"".join(cut), np.uint8), _BASES[1])
-    counts = sizes - match + 1
+    counts = (sizes - match) // step + 1
     row = np.repeat(np.arange(len(cut)), counts)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    inside = step * (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts))
     at = begin[row] + inside
     return row, inside, mixed(hashes.of(at, at + match)) ^ kh[row]
 
 
-def _spans(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _spans(row: np.ndarray, start: np.ndarray, step: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, first and last of the runs of neighbouring starts; both arrays ascend."""
     if not len(row):
         return row, start, start
-    new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)]))
+    new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + step)]))
     return row[new], start[new], start[np.append(new[1:], len(row)) - 1]
 
 
-def _repeated_in_task(found: DataFrame, schema: str, match: int) -> DataFrame:
+def _repeated_in_task(found: DataFrame, schema: str, unit: Unit) -> DataFrame:
     """Spans of single entries whose windows another entry of the same anchor has, an anchor in one task."""
 
     def decide(table: pa.Table) -> pa.RecordBatch:
         kh = table.column("kh").to_numpy().view(np.uint64)
         cut = table.column("bytes").to_pylist()
-        row, inside, hashes = _window_hashes(cut, kh, match)
-        hit = _equal_windows(cut, row, inside, hashes, match)
+        row, inside, hashes = _window_hashes(cut, kh, unit)
+        hit = _equal_windows(cut, row, inside, hashes, unit.match)
         hit &= table.column("n").to_numpy()[row] == 1
-        own, a, b = _spans(row[hit], inside[hit])
+        own, a, b = _spans(row[hit], inside[hit], unit.step)
         lo = table.column("lo").to_numpy()[own]
         keys = [table.column(c).take(pa.array(own)).combine_chunks() for c in KEY]
-        ends = [pa.array((lo + a).astype(np.int32)), pa.array((lo + b + match).astype(np.int32))]
+        ends = [pa.array((lo + a).astype(np.int32)), pa.array((lo + b + unit.match).astype(np.int32))]
         return pa.RecordBatch.from_arrays([*keys, *ends], [*KEY, "s", "e"])
 
     def run(batches):
@@ -398,7 +410,7 @@ def _repeated_in_task(found: DataFrame, schema: str, match: int) -> DataFrame:
     return map_arrow(found.repartition("kh").sortWithinPartitions("kh"), run, schema)
 
 
-def _repeated_by_shuffle(found: DataFrame, schema: str, match: int) -> DataFrame:
+def _repeated_by_shuffle(found: DataFrame, schema: str, unit: Unit) -> DataFrame:
     """The same for anchors of very many classes: hashes of window starts are counted, equal ones first in
     each task, and lead back to their places."""
 
@@ -407,7 +419,7 @@ def _repeated_by_shuffle(found: DataFrame, schema: str, match: int) -> DataFrame
             for x in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(x, CHUNK)
                 kh = part.column("kh").to_numpy().view(np.uint64)
-                row, inside, hashes = _window_hashes(part.column("bytes").to_pylist(), kh, match)
+                row, inside, hashes = _window_hashes(part.column("bytes").to_pylist(), kh, unit)
                 own = pa.array(row)
                 start = part.column("lo").to_numpy()[row] + inside
                 keys = [part.column(c).take(own) for c in ("doc_id", "text_hash", "n", "kh")]
@@ -418,7 +430,7 @@ def _repeated_by_shuffle(found: DataFrame, schema: str, match: int) -> DataFrame
     windows = map_arrow(found, run, f"doc_id {kind}, text_hash long, n long, kh long, s int, h long")
     more = windows.groupBy("kh", "h").agg(F.count("*").alias("times")).where("times > 1").select("kh", "h")
     hit = windows.where("n = 1").join(more, ["kh", "h"], "left_semi")
-    return hit.select("doc_id", "text_hash", "s", (F.col("s") + match).alias("e"))
+    return hit.select("doc_id", "text_hash", "s", (F.col("s") + unit.match).alias("e"))
 
 
 def repeated_spans(keyed: DataFrame, batches: int | None = None, unit: Unit = BYTES) -> DataFrame:
@@ -445,12 +457,12 @@ def repeated_spans(keyed: DataFrame, batches: int | None = None, unit: Unit = BY
     schema = f"doc_id {kind}, text_hash long, s int, e int"
     large = stage(several.where(F.col("m") > TASK_CLASSES), "suffix-large")
     if large.count() == 0:
-        spans = inside.union(_repeated_in_task(found, schema, unit.match))
+        spans = inside.union(_repeated_in_task(found, schema, unit))
     else:
         found = stage(found, "suffix-contexts")
         few = found.join(_sized(large, 2), "kh", "left_anti").select(found.columns)
         many = found.join(_sized(large, 2), "kh", "left_semi").select(found.columns)
-        spans = inside.union(_repeated_in_task(few, schema, unit.match)).union(_repeated_by_shuffle(many, schema, unit.match))
+        spans = inside.union(_repeated_in_task(few, schema, unit)).union(_repeated_by_shuffle(many, schema, unit))
     spans = stage(spans, "suffix-spans")
     for table in (hits, repeated, classes, whole, several, edges, large):
         discard(table)
@@ -544,6 +556,23 @@ def without_passages(
     return map_arrow(joined, run, schema)
 
 
+def word_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int = WORD_BATCHES) -> DataFrame:
+    """One row per text that has any, by doc_id and text_hash: n_passages, its runs of over 50 words that also stand
+    elsewhere, however few bytes they have, and n_passage_words, the words in them. Runs that overlap or follow one
+    another count as one. Otherwise as `without_passages`."""
+    lists = _span_lists(keyed_documents(docs, id_column, text_column), batches, [*KEY, "s", "e"], WORDS)
+
+    def run(batches_):
+        for batch in batches_:
+            spans = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            runs = [word_runs(s, e) for s, e in spans]
+            counts = pa.array([len(r) for r in runs], pa.int64()), pa.array([sum(b - a for a, b in r) for r in runs], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *counts], [*KEY, "n_passages", "n_passage_words"])
+
+    kind = lists.schema["doc_id"].dataType.simpleString()
+    return map_arrow(lists, run, f"doc_id {kind}, text_hash long, n_passages long, n_passage_words long")
+
+
 def cut_documents(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int | None = None, unit: Unit = BYTES
 ) -> DataFrame:
@@ -577,5 +606,12 @@ def cut_documents(
 
 
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    done = without_passages(read(spark, folder))
-    return done.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept", "text_hash")
+    """Passages of 400 bytes or more are removed; those of over 50 words, which may be shorter, are counted besides."""
+    docs = read(spark, folder)
+    own = ["_doc_id", "_text_hash"]
+    words = word_passages(docs).withColumnsRenamed(dict(zip(KEY, own, strict=True)))
+    # Digests before the join, so that no text is shuffled by it.
+    done = without_passages(docs).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    found = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_passages", "n_passage_words")]
+    joined = done.join(words, _same_key(KEY, own), "left")
+    return joined.select(*[c for c in done.columns if c != "text_hash"], *found)

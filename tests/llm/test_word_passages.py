@@ -78,3 +78,44 @@ def test_word_passages_of_edge_rows(edge_rows, no_rows):
     assert {r.text for r in cut.where("doc_id = 3").collect()} == {None}
     assert cut.where("doc_id = 7").first().text == " "
     assert suffix_index.cut_documents(no_rows, unit=suffix_index.WORDS).count() == 0
+
+
+def plain_runs(texts, least=51):
+    """Number of runs of words in windows of `least` that also start anywhere else, and their words."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts]
+    seen = {}
+    for own in words:
+        for i in range(len(own) - least + 1):
+            seen[tuple(own[i : i + least])] = seen.get(tuple(own[i : i + least]), 0) + 1
+    out = []
+    for own in words:
+        gone = [False] * len(own)
+        for i in range(len(own) - least + 1):
+            if seen[tuple(own[i : i + least])] > 1:
+                gone[i : i + least] = [True] * least
+        out.append((sum(b and not a for a, b in zip([False, *gone], gone, strict=False)), sum(gone)))
+    return out
+
+
+def test_suffix_query_counts_passages_of_over_50_words(spark, tmp_path):
+    rng = random.Random(9)
+    long, short = (" ".join(w[:5] for w in p) for p in invented(rng, [53, 50], "abcdefgh"))
+    assert len(long.encode()) < 400
+    own = [[" ".join(p) for p in invented(rng, [20, 60], "abcdefgh")] for _ in range(9)]
+    texts = [f"{a}\n{(long, short, 'none')[k % 3]}\n{b}" for k, (a, b) in enumerate(own)]
+    texts += [f"{long} {own[2][0]} {long.replace(' ', '  ')}", "a " * 300, "x" * 900 + " y", "x" * 900 + " z", " \n", ""]
+    rows = [*enumerate(texts), (99, None), (None, texts[0]), (7, texts[7]), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = suffix_index.op4_suffix_dedup(spark, str(tmp_path)).collect()
+    contract = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert found[0].asDict().keys() == {*contract, "n_passages", "n_passage_words"}
+    plain = [t or "" for _, t in rows]
+    want = [(k, len(t.encode()), *n) for (k, _), t, n in zip(rows, plain, plain_runs(plain), strict=True)]
+    got = [(r.doc_id, r.n_bytes, r.n_passages, r.n_passage_words) for r in found]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    by_id = {r.doc_id: r for r in found if r.doc_id is not None}
+    # Under 400 bytes nothing is removed, as the contract has it; the passage is counted all the same.
+    assert (by_id[3].n_removed, by_id[3].n_passages, by_id[3].n_passage_words) == (0, 1, 53)
+    assert (by_id[4].n_passages, by_id[5].n_passages, by_id[99].n_passages) == (0, 0, 0)
+    assert (by_id[9].n_passages, by_id[9].n_passage_words, by_id[10].n_passage_words) == (2, 106, 300)
+    assert by_id[11].n_removed == 901 and by_id[11].n_passages == 0
